@@ -32,20 +32,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component stays, once."""
+    """The document with the smallest id of each SimHash component stays, once; documents without an id stay."""
     from tidemark.llm.simhash import near_duplicates as groups
 
     kept = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns)
+    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    from tidemark.llm.mixing import mix
+    """Each document as often as the mix takes it; rows with equal id and text are taken together."""
+    from tidemark.llm.mixing import mix, row_key
 
-    taken = mix(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(taken, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    taken = mix(docs).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
+    rows = docs.withColumn("_row", row_key()).dropDuplicates(["doc_id", "_row"])
+    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_key")))
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

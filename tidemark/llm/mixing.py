@@ -97,8 +97,13 @@ def _round(rows: DataFrame, seed: int) -> DataFrame:
     return rows.groupBy("source", "node").applyInArrow(step, rows.schema)
 
 
+def row_key(id_column: str = "doc_id", text_column: str = "text"):
+    """A hash of a row's id and text, by which it is drawn."""
+    return F.xxhash64(F.col(id_column), F.col(text_column))
+
+
 def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, most: float = MOST, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", keep: tuple = ()) -> DataFrame:
-    """(id, size, source_size, target, copies, taken) for each row: size counts words, taken is copies x size.
+    """(id, source, size, source_size, target, copies, taken, key) for each row: size counts words, taken is copies x size.
 
     Null texts have size 0 and so do wordless ones; they take nothing but may be copied.  A null source is a source
     of its own, last in order.  Repeated rows are drawn one by one; null ids keep their rows.  An empty table gives
@@ -107,7 +112,7 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, most: float = MOST, id_
     sized = docs.select(
         F.col(id_column).alias("id"), F.col(source_column).alias("source"), *keep,
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.col(id_column), F.col(text_column)).alias("key"),
+        row_key(id_column, text_column).alias("key"),
     )
     sized = write_table(sized, "mix-sizes")
     targets = write_table(source_targets(sized, weights, most), "mix-targets")
@@ -129,4 +134,4 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, most: float = MOST, id_
         state = write_table(_round(state.where(left).withColumn("node", F.floor(F.col("node") / FAN_IN)), seed + 1), "mix-round")
     everything = settled.unionAll(state.where(left).withColumn("p", F.when(F.col("p") < 0.5, 0.0).otherwise(1.0)))
     copies = (F.col("whole") + F.col("p").cast("long")).alias("copies")
-    return everything.select(F.col("id").alias(id_column), *keep, "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"))
+    return everything.select(F.col("id").alias(id_column), *keep, "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"), "key")

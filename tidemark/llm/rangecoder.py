@@ -1,7 +1,7 @@
 """Token-id files: an adaptive context-mixing range coder over blocks of ids.
 
 A block's model predicts each id thrice: by what last followed the two ids before it (order 2), by what last followed
-the one before it (order 1), and by how often each range of 256 ids was needed in the block so far (order 0).  The
+the one before it (order 1), and by how often each range of ids was needed in the block so far (order 0).  The
 mixture's weights are adaptive and kept by the confidence of both predictions; the range coder codes an id in the
 slot of the first prediction that gives it.  Blocks start from nothing and carry a checksum, so each can be read
 by itself.  Many blocks are coded side by side, one a lane of the arrays; a lane's bytes don't depend on the others.
@@ -22,142 +22,155 @@ from tidemark.llm.tokens import ByteBpe, TextCoder
 from tidemark.plans.runtime import map_arrow
 
 #: First bytes of a block; ids of a block; blocks coded side by side.
-MAGIC, BLOCK, LANES = b"TMR1", 4096, 1536
-#: Bits of the prediction tables' indices; bits of the slots' total; steps after which the order-0 table is made anew.
-BITS1, BITS2, TOTAL_BITS, RENEW = 12, 12, 12, 128
+MAGIC, BLOCK, LANES = b"TMR1", 4096, 2048
+#: Bits of the prediction tables' indices; bits of the slots' total; steps after which the order-0 shares are made anew.
+BITS1, BITS2, TOTAL_BITS, RENEW = 11, 12, 12, 256
 TOTAL = 1 << TOTAL_BITS
 ID_BITS = 20
-ID_MASK = np.uint32((1 << ID_BITS) - 1)
+ID_MASK, ONE, FULL = (1 << ID_BITS) - 1, 1 << ID_BITS, 3 << ID_BITS
+#: Bits of the order-0 shares, and of the widest range of ids.
+CELL_BITS, LOW_BITS = 9, 10
+CELLS = 1 << CELL_BITS
+#: The coder's window, and what a range falls below before 16 bits leave or enter.
+WINDOW, LEAST, DIGIT = 48, 1 << 32, 16
+
+
+def ranges(vocab: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first id, bits within) of the ranges that order 0 counts: narrow for low ids, the frequent ones of a vocabulary."""
+    firsts, bits = [], []
+    for n, top in ((6, 1024), (8, 8192), (LOW_BITS, 1 << 62)):
+        while (at := firsts[-1] + (1 << bits[-1]) if firsts else 0) < min(top, vocab):
+            firsts.append(at)
+            bits.append(n)
+    return np.array(firsts, np.int64), np.array(bits, np.int64)
 
 
 class _Model:
     """The predictions of all lanes, and how they learn."""
 
     def __init__(self, lanes: int, vocab: int):
-        self.high = -(-vocab // 256)
-        self.t1, self.t2 = np.zeros(lanes << BITS1, np.uint32), np.zeros(lanes << BITS2, np.uint32)
-        self.w2, self.w1 = np.full(lanes * 32, 20000, np.int32), np.full(lanes * 32, 12000, np.int32)
+        self.first, self.low = ranges(vocab)
+        self.n = len(self.first)
+        self.of64 = np.repeat(np.arange(self.n), 1 << self.low - 6)  # ranges are whole stretches of 64 ids
+        self.t1, self.t2 = np.zeros(lanes << BITS1, np.int32), np.zeros(lanes << BITS2, np.int32)
+        self.w2, self.w1 = np.full(lanes * 32, 20000, np.int64), np.full(lanes * 32, 12000, np.int64)
         lane = np.arange(lanes, dtype=np.int64)
-        self.at1, self.at2, self.atw, self.ath = lane << BITS1, lane << BITS2, lane * 32, lane * self.high
-        self.atc = lane * (self.high + 1)
-        self.counts = np.tile((512 // (1 + np.arange(self.high))).astype(np.int32) + 1, lanes)
-        self.c1, self.c2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.at1, self.at2, self.atw, self.ath, self.atc = lane << BITS1, lane << BITS2, lane * 32, lane * self.n, lane * CELLS
+        self.counts = np.tile(512 // (1 + np.arange(self.n)) + 1, lanes)
+        self.c1, self.c2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step = 0
 
     def predict(self, n: int) -> None:
         """For the first n lanes: the ids predicted, and the sizes of their slots."""
         if self.step % RENEW == 0:
-            counts = self.counts.reshape(-1, self.high)[:n].astype(np.int64)
-            share = counts * (TOTAL - self.high) // counts.sum(1)[:, None] + 1
-            cum = np.zeros((n, self.high + 1), np.int64)
-            np.cumsum(share, 1, out=cum[:, 1:])
-            cum[:, -1] = TOTAL
-            self.cum = cum.ravel()
+            self._shares(n)
         self.step += 1
-        c1, c2 = self.c1[:n], self.c2[:n]
-        self.i1 = self.at1[:n] + (c1 * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS1))
-        self.i2 = self.at2[:n] + ((c2 * np.uint32(0x85EBCA6B) + c1) * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS2))
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
+        c1 = self.c1[:n]
+        self.i1 = (c1 * 0x9E3779B1 >> 20 & (1 << BITS1) - 1) + self.at1[:n]
+        self.i2 = ((self.c2[:n] * 0x2545F491 + c1) * 0x9E3779B1 >> 24 & (1 << BITS2) - 1) + self.at2[:n]
+        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.p1, self.p2 = self.e1 & ID_MASK, self.e2 & ID_MASK
-        self.k1, self.k2 = self.e1 >> np.uint32(ID_BITS), self.e2 >> np.uint32(ID_BITS)
-        self.iw = self.atw[:n] + (self.k2 * np.uint32(8) + self.k1 * np.uint32(2) + (self.p1 == self.p2))
-        w2, w1 = self.w2[self.iw], self.w1[self.iw]
-        self.f2 = (w2 * (TOTAL - 64) >> 16) + 16
-        self.f1 = ((TOTAL - 32 - self.f2) * w1 >> 16) + 8
-        self.weights = w2, w1
+        self.iw = (self.e2 >> ID_BITS << 3 | self.e1 >> ID_BITS << 1 | (self.p1 == self.p2)) + self.atw[:n]
+        self.v2, self.v1 = self.w2.take(self.iw), self.w1.take(self.iw)
+        self.f2 = (self.v2 * (TOTAL - 64) >> 16) + 16
+        self.edge = ((TOTAL - 32 - self.f2) * self.v1 >> 16) + 8 + self.f2
+
+    def _shares(self, n: int) -> None:
+        """Whole cells for each range by its count, one at least; which range each cell belongs to."""
+        counts = self.counts.reshape(-1, self.n)[:n]
+        share = counts * (CELLS - self.n) // counts.sum(1)[:, None] + 1
+        share[:, 0] += CELLS - share.sum(1)
+        self.start = (np.cumsum(share, 1) - share).ravel()
+        self.share = share.ravel()
+        self.owner = np.repeat(np.tile(np.arange(self.n, dtype=np.int16), n), self.share)
 
     def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        w2, w1 = self.weights
-        self.w2[self.iw] = w2 + ((hit2 * np.int32(65535) - w2) >> 5)
-        self.w1[self.iw] = np.where(hit2, w1, w1 + ((hit1 * np.int32(65535) - w1) >> 5))
-        one = np.uint32(1 << ID_BITS)
-        new = ids | one
-        self.t2[self.i2] = np.where(hit2, np.minimum(self.e2 + one, self.p2 | np.uint32(3 << ID_BITS)), np.where(self.k2 > 1, self.e2 - one, new))
-        self.t1[self.i1] = np.where(ids == self.p1, np.minimum(self.e1 + one, self.p1 | np.uint32(3 << ID_BITS)), np.where(self.k1 > 1, self.e1 - one, new))
+        v2, v1 = self.v2, self.v1
+        self.w2[self.iw] = v2 + ((hit2 * 65535 - v2) >> 5)
+        self.w1[self.iw] = np.where(hit2, v1, v1 + ((hit1 * 65535 - v1) >> 5))
+        new = ids | ONE
+        self.t2[self.i2] = np.where(hit2, self.e2 + ((self.e2 < FULL) << ID_BITS), new)
+        self.t1[self.i1] = np.where(hit1, self.e1 + ((self.e1 < FULL) << ID_BITS), new)
         self.c2[:n] = self.c1[:n]
         self.c1[:n] = ids
 
 
-class _Coder:
-    """32-bit ranges of all lanes; 16 bits leave or enter whenever a range falls below 2**16."""
+class _Encoder:
+    """Ranges of all lanes; 16 bits leave whenever a range falls below LEAST."""
 
     def __init__(self, lanes: int):
-        self.range = np.full(lanes, 0xFFFFFFFF, np.uint64)
-        self.value = np.zeros(lanes, np.uint64)
-        self.at = np.zeros(lanes, np.int64)
-
-    def narrow(self, of, start: np.ndarray, size: np.ndarray, bits: int, unit: np.ndarray | None = None) -> np.ndarray:
-        """Take the part [start, start + size) of 2**bits of the ranges *of*; returns the lanes that must move 16 bits."""
-        unit = self.range[of] >> np.uint64(bits) if unit is None else unit
-        moved = start.astype(np.uint64) * unit
-        self.value[of] = self.value[of] + moved if self.encoding else self.value[of] - moved
-        left = size.astype(np.uint64) * unit
+        self.range, self.value, self.at = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.digits = np.zeros((2 * BLOCK + 8, lanes), np.uint32)
+
+    def put(self, of, start, size, bits: int) -> None:
+        """Take the part [start, start + size) of 2**bits of the ranges *of*."""
+        unit = self.range[of] >> bits
+        self.value[of] += start * unit
+        left = size * unit
         self.range[of] = left
-        low = np.flatnonzero(left < 65536)
-        return low if isinstance(of, slice) else of[low]
-
-
-class _Encoder(_Coder):
-    encoding = True
-
-    def __init__(self, lanes: int):
-        super().__init__(lanes)
-        self.digits = np.zeros((2 * BLOCK + 4, lanes), np.uint32)
-
-    def put(self, of, start, size, bits) -> None:
-        low = self.narrow(of, start, size, bits)
-        value = self.value[low]
-        self.digits[self.at[low], low] = value >> np.uint64(16)  # may carry into the digit before
-        self.at[low] += 1
-        self.value[low] = (value & np.uint64(0xFFFF)) << np.uint64(16)
-        self.range[low] <<= np.uint64(16)
+        low = np.flatnonzero(left < LEAST)
+        while len(low):
+            lanes = low if isinstance(of, slice) else of[low]
+            value = self.value[lanes]
+            self.digits[self.at[lanes], lanes] = value >> WINDOW - DIGIT  # may carry into the digit before
+            self.at[lanes] += 1
+            self.value[lanes] = (value & LEAST - 1) << DIGIT
+            left[low] <<= DIGIT
+            self.range[lanes] = left[low]
+            low = low[left[low] < LEAST]
 
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.at))
-        self.digits[self.at, lanes] = self.value >> np.uint64(16)
-        self.digits[self.at + 1, lanes] = self.value & np.uint64(0xFFFF)
+        for k in range(3):
+            self.digits[self.at + k, lanes] = self.value >> WINDOW - DIGIT * (k + 1) if k == 0 else self.value >> WINDOW - DIGIT * (k + 1) & 0xFFFF
         carry = np.zeros(len(self.at), np.uint32)
-        for row in self.digits[: int(self.at.max()) + 2][::-1]:
+        for row in self.digits[: int(self.at.max()) + 3][::-1]:
             row += carry
-            carry = row >> np.uint32(16)
-        columns = np.ascontiguousarray(self.digits[: int(self.at.max()) + 2].T).astype("<u2")
-        return [c[: n + 2].tobytes() for c, n in zip(columns, self.at)]
+            carry = row >> np.uint32(DIGIT)
+        columns = np.ascontiguousarray(self.digits[: int(self.at.max()) + 3].T).astype("<u2")
+        return [c[: n + 3].tobytes() for c, n in zip(columns, self.at)]
 
 
-class _Decoder(_Coder):
-    encoding = False
+class _Decoder:
+    """Ranges of all lanes and the coded values within them; 16 bits enter whenever a range falls below LEAST."""
 
     def __init__(self, payloads: list[bytes]):
-        super().__init__(len(payloads))
-        longest = max(map(len, payloads)) // 2 + 2
-        self.digits = np.zeros((longest, len(payloads)), np.uint64)
+        lanes = len(payloads)
+        self.digits = np.zeros((max(map(len, payloads)) // 2 + 4, lanes), np.int64)
         for k, p in enumerate(payloads):
             self.digits[: len(p) // 2, k] = np.frombuffer(p, "<u2")
-        self.value = (self.digits[0] << np.uint64(16)) + self.digits[1]
-        self.at += 2
+        self.range, self.at = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.full(lanes, 3, np.int64)
+        self.value = (self.digits[0] << 2 * DIGIT) + (self.digits[1] << DIGIT) + self.digits[2]
 
     def look(self, of, bits: int) -> np.ndarray:
         """Where in 2**bits the coded values stand."""
-        self.unit = self.range[of] >> np.uint64(bits)
-        return np.minimum(self.value[of] // self.unit, np.uint64((1 << bits) - 1)).astype(np.int64)
+        self.unit = self.range[of] >> bits
+        return np.minimum(self.value[of] // self.unit, (1 << bits) - 1)
 
-    def drop(self, of, start, size, bits) -> None:
-        low = self.narrow(of, start, size, bits, self.unit)
-        self.value[low] = self.value[low] << np.uint64(16) | self.digits[self.at[low], low]
-        self.at[low] += 1
-        self.range[low] <<= np.uint64(16)
+    def drop(self, of, start, size) -> None:
+        self.value[of] -= start * self.unit
+        left = size * self.unit
+        self.range[of] = left
+        low = np.flatnonzero(left < LEAST)
+        while len(low):
+            lanes = low if isinstance(of, slice) else of[low]
+            self.value[lanes] = self.value[lanes] << DIGIT | self.digits[self.at[lanes], lanes]
+            self.at[lanes] += 1
+            left[low] <<= DIGIT
+            self.range[lanes] = left[low]
+            low = low[left[low] < LEAST]
 
 
 def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     """A self-contained block for each array of 1 to BLOCK ids below *vocab*."""
-    if vocab > 1 << min(ID_BITS, 19):
+    if len(ranges(vocab)[0]) > CELLS // 2:
         raise ValueError(f"{vocab} ids are more than a block's model holds")
     out: list[bytes] = [b""] * len(blocks)
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    for first in range(0, len(order), LANES):
-        part = order[first : first + LANES]
+    for at in range(0, len(order), LANES):
+        part = order[at : at + LANES]
         sizes = np.array([len(blocks[k]) for k in part])
-        ids = np.zeros((sizes[0], len(part)), np.uint32)
+        ids = np.zeros((sizes[0], len(part)), np.int32)
         for lane, k in enumerate(part):
             ids[: sizes[lane], lane] = blocks[k]
         m, c = _Model(len(part), vocab), _Encoder(len(part))
@@ -166,25 +179,22 @@ def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
             n = int(active[t])
             now = ids[t, :n]
             m.predict(n)
-            hit2 = now == m.p2
-            hit1 = (now == m.p1) & ~hit2
-            miss = ~(hit2 | hit1)
-            start = np.where(hit2, 0, np.where(hit1, m.f2, m.f2 + m.f1))
-            size = np.where(hit2, m.f2, np.where(hit1, m.f1, TOTAL - m.f2 - m.f1))
-            c.put(slice(0, n), start, size, TOTAL_BITS)
-            lost = np.flatnonzero(miss)
+            hit2, hit1 = now == m.p2, now == m.p1
+            edge = m.edge
+            start = np.where(hit2, 0, np.where(hit1, m.f2, edge))
+            c.put(slice(0, n), start, np.where(hit2, m.f2, np.where(hit1, edge, TOTAL) - start), TOTAL_BITS)
+            lost = np.flatnonzero(~(hit2 | hit1))
             if len(lost):
-                x = now[lost].astype(np.int64)
-                high = x >> 8
-                place = m.atc[lost] + high
-                a = m.cum[place]
-                c.put(lost, a, m.cum[place + 1] - a, TOTAL_BITS)
-                c.put(lost, x & 255, np.ones(len(lost), np.int64), 8)
-                m.counts[m.ath[lost] + high] += 32
+                x = now[lost]
+                r = m.of64[x >> 6]
+                place = m.ath[lost] + r
+                wide = LOW_BITS - m.low[r]
+                size = m.share[place] << wide
+                c.put(lost, (m.start[place] << LOW_BITS) + (x - m.first[r]) * size, size, CELL_BITS + LOW_BITS)
+                m.counts[place] += 32
             m.learn(n, now, hit2, hit1)
         for k, payload in zip(part, c.finish()):
-            raw = blocks[k].astype("<u4").tobytes()
-            out[k] = MAGIC + struct.pack("<III", len(blocks[k]), vocab, zlib.crc32(raw)) + payload
+            out[k] = MAGIC + struct.pack("<III", len(blocks[k]), vocab, zlib.crc32(blocks[k].astype("<u4").tobytes())) + payload
     return out
 
 
@@ -193,53 +203,50 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     out: list = [None] * len(blocks)
     heads = []
     for b in blocks:
-        if b[:4] != MAGIC or len(b) < 20:
+        if b[:4] != MAGIC or len(b) < 22:
             raise ValueError("not a block of token ids")
         heads.append(struct.unpack_from("<III", b, 4))
     order = sorted(range(len(blocks)), key=lambda k: (heads[k][1], -heads[k][0]))
-    first = 0
-    while first < len(order):
-        vocab = heads[order[first]][1]
-        part = [k for k in order[first : first + LANES] if heads[k][1] == vocab]
-        first += len(part)
+    at = 0
+    while at < len(order):
+        vocab = heads[order[at]][1]
+        part = [k for k in order[at : at + LANES] if heads[k][1] == vocab]
+        at += len(part)
         sizes = np.array([heads[k][0] for k in part])
-        if sizes[0] > BLOCK:
-            raise ValueError("a block is longer than blocks are")
-        ids = np.zeros((sizes[0], len(part)), np.uint32)
+        if sizes[0] > BLOCK or len(ranges(vocab)[0]) > CELLS // 2:
+            raise ValueError("a block's head is damaged")
+        ids = np.zeros((sizes[0], len(part)), np.int32)
         m, c = _Model(len(part), vocab), _Decoder([blocks[k][16:] for k in part])
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
         try:
             for t in range(sizes[0]):
                 n = int(active[t])
                 m.predict(n)
-                whole = slice(0, n)
+                whole, edge = slice(0, n), m.edge
                 v = c.look(whole, TOTAL_BITS)
-                edge = m.f2 + m.f1
-                hit2 = v < m.f2
-                hit1 = (v < edge) & ~hit2
-                c.drop(whole, np.where(hit2, 0, np.where(hit1, m.f2, edge)), np.where(hit2, m.f2, np.where(hit1, m.f1, TOTAL - edge)), TOTAL_BITS)
-                now = np.where(hit2, m.p2, m.p1)
-                lost = np.flatnonzero(v >= edge)
+                in2 = v < m.f2
+                miss = v >= edge
+                start = np.where(in2, 0, np.where(miss, edge, m.f2))
+                c.drop(whole, start, np.where(in2, m.f2, np.where(miss, TOTAL, edge) - start))
+                now = np.where(in2, m.p2, m.p1)
+                lost = np.flatnonzero(miss)
                 if len(lost):
-                    v = c.look(lost, TOTAL_BITS)
-                    base = m.atc[lost]
-                    high = np.zeros(len(lost), np.int64)
-                    width = 1 << (m.high - 1).bit_length()
-                    while width := width >> 1:
-                        mid = np.minimum(high + width, m.high - 1)
-                        high = np.where(m.cum[base + mid] <= v, mid, high)
-                    a = m.cum[base + high]
-                    c.drop(lost, a, m.cum[base + high + 1] - a, TOTAL_BITS)
-                    low = c.look(lost, 8)
-                    c.drop(lost, low, np.ones(len(lost), np.int64), 8)
-                    now[lost] = (high << 8 | low).astype(np.uint32)
-                    m.counts[m.ath[lost] + high] += 32
+                    v = c.look(lost, CELL_BITS + LOW_BITS)
+                    r = m.owner[m.atc[lost] + (v >> LOW_BITS)]
+                    place = m.ath[lost] + r
+                    wide = LOW_BITS - m.low[r]
+                    size = m.share[place] << wide
+                    first = m.start[place] << LOW_BITS
+                    x = (v - first) // size
+                    c.drop(lost, first + x * size, size)
+                    now[lost] = m.first[r] + x
+                    m.counts[place] += 32
                 ids[t, :n] = now
-                m.learn(n, now, hit2, hit1)
+                m.learn(n, now, in2, now == m.p1)
         except (IndexError, ZeroDivisionError) as e:
             raise ValueError("a block is damaged") from e
         for lane, k in enumerate(part):
-            out[k] = np.ascontiguousarray(ids[: sizes[lane], lane])
+            out[k] = ids[: sizes[lane], lane].astype(np.uint32)
             if zlib.crc32(out[k].astype("<u4").tobytes()) != heads[k][2]:
                 raise ValueError("a block's checksum is wrong")
     return out
