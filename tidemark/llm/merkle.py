@@ -19,6 +19,9 @@ PHRASE_END = r"(?<=\n)|(?<=[^\p{L}\p{N}\s]\s)|(?<=[sdnaetrl]\s)|(?<=[。、！
 #: Where a section ends, in its paragraphs' digests joined by spaces.
 SECTION_END = r"(?<=(?:^| )[01][0-9a-f]{63}) "
 
+#: Ranges that quantiles of the ids part at most; finer ones are equal steps within them.
+COARSE = 256
+
 
 def paragraphs(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 256))
@@ -68,13 +71,19 @@ def with_next(docs: DataFrame, buckets: int | None = None, id_column: str = "doc
     spark = docs.sparkSession
     n = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).withColumn("h", F.xxhash64("text"))
-    cuts = sorted({*base.where("id is not null").approxQuantile("id", [k / n for k in range(1, n)], 0.001)}) if n > 1 else []
-    range_no = F.lit(0)
-    if cuts:
-        range_no = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("id"))))
+    coarse = min(n, COARSE)
+    cuts = sorted({*base.where("id is not null").approxQuantile("id", [k / coarse for k in range(coarse + 1)], 0.001)})
+    range_no = F.lit(0).cast("long")
+    if len(cuts) > 1:
+        # Quantiles part the ids coarsely, and equal steps between two quantiles finely: few literals make many ranges.
+        ends, fine = F.array(*[F.lit(float(c)) for c in cuts]), -(-n // coarse)
+        at = F.greatest(F.lit(1), F.least(F.lit(len(cuts) - 1), F.size(F.filter(ends, lambda c: c <= F.col("id")))))
+        low, high = F.element_at(ends, at), F.element_at(ends, at + 1)
+        step = F.least(F.lit(fine - 1), F.floor((F.col("id") - low) / (high - low) * fine))
+        range_no = F.when(F.col("id").isNull(), 0).otherwise(at * fine + F.greatest(F.lit(0), step)).cast("long")
     base = base.withColumn("range", range_no)
     # One row a range: its first row, and the range before it (for the first range the last).
-    firsts = base.groupBy("range").agg(F.min(F.struct("id", "h")).alias("f")).select("range", "f.id", "f.h").withColumn("k", F.row_number().over(Window.orderBy("range")))
+    firsts = base.groupBy("range").agg(F.min(F.struct("id", "h")).alias("f")).select("range", "f.id", "f.h")
     around = Window.orderBy("range")
     firsts = firsts.withColumn("before", F.coalesce(F.lag("range").over(around), F.max("range").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))).select(F.col("range").alias("_range"), F.col("id").alias("_id"), F.col("h").alias("_h"), "before")
     guests = base.join(F.broadcast(firsts), (F.col("range") == F.col("_range")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).select("id", "text", "h", F.col("before").alias("range"), F.lit(1).alias("guest"))
