@@ -33,6 +33,7 @@ CELL_BITS, LOW_BITS = 9, 10
 CELLS = 1 << CELL_BITS
 #: The coder's window, and what a range falls below before 16 bits leave or enter.
 WINDOW, LEAST, DIGIT = 48, 1 << 32, 16
+NONE = 0xFFFFFFFF
 
 
 def ranges(vocab: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,21 +50,23 @@ class _Model:
     """The predictions of all lanes, and how they learn."""
 
     def __init__(self, lanes: int, vocab: int):
-        self.first, self.low = ranges(vocab)
-        self.n = len(self.first)
-        self.of64 = np.repeat(np.arange(self.n), 1 << self.low - 6)  # ranges are whole stretches of 64 ids
+        first, low = ranges(vocab)
+        self.n = len(first)
+        self.of64 = np.repeat(np.arange(self.n), 1 << low - 6)  # ranges are whole stretches of 64 ids
+        self.first_low = first << 4 | low
         self.t1, self.t2 = np.zeros(lanes << BITS1, np.int32), np.zeros(lanes << BITS2, np.int32)
-        self.w2, self.w1 = np.full(lanes * 32, 20000, np.int64), np.full(lanes * 32, 12000, np.int64)
+        self.w = np.full(lanes * 32, 20000 << 32 | 12000, np.int64)  # weights of orders 2 and 1, of 65536
         lane = np.arange(lanes, dtype=np.int64)
         self.at1, self.at2, self.atw, self.ath, self.atc = lane << BITS1, lane << BITS2, lane * 32, lane * self.n, lane * CELLS
-        self.counts = np.tile(512 // (1 + np.arange(self.n)) + 1, lanes)
+        self.counts = np.tile(512 // (1 + np.arange(self.n)) + 1, (lanes, 1))
+        self.needed = np.full((RENEW, lanes), self.n, np.int16)
         self.c1, self.c2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step = 0
 
     def predict(self, n: int) -> None:
-        """For the first n lanes: the ids predicted, and the sizes of their slots."""
+        """For the first n lanes: the ids predicted, and where the slots of the predictions end."""
         if self.step % RENEW == 0:
-            self._shares(n)
+            self._shares()
         self.step += 1
         c1 = self.c1[:n]
         self.i1 = (c1 * 0x9E3779B1 >> 20 & (1 << BITS1) - 1) + self.at1[:n]
@@ -71,96 +74,40 @@ class _Model:
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.p1, self.p2 = self.e1 & ID_MASK, self.e2 & ID_MASK
         self.iw = (self.e2 >> ID_BITS << 3 | self.e1 >> ID_BITS << 1 | (self.p1 == self.p2)) + self.atw[:n]
-        self.v2, self.v1 = self.w2.take(self.iw), self.w1.take(self.iw)
+        w = self.w.take(self.iw)
+        self.v2, self.v1 = w >> 32, w & 0xFFFFFFFF
         self.f2 = (self.v2 * (TOTAL - 64) >> 16) + 16
         self.edge = ((TOTAL - 32 - self.f2) * self.v1 >> 16) + 8 + self.f2
 
-    def _shares(self, n: int) -> None:
+    def _shares(self) -> None:
         """Whole cells for each range by its count, one at least; which range each cell belongs to."""
-        counts = self.counts.reshape(-1, self.n)[:n]
-        share = counts * (CELLS - self.n) // counts.sum(1)[:, None] + 1
+        lanes = len(self.counts)
+        at = (np.arange(lanes) * (self.n + 1) + self.needed).ravel()
+        self.counts += 32 * np.bincount(at, minlength=lanes * (self.n + 1)).reshape(lanes, -1)[:, : self.n]
+        self.needed[:] = self.n
+        share = self.counts * (CELLS - self.n) // self.counts.sum(1)[:, None] + 1
         share[:, 0] += CELLS - share.sum(1)
-        self.start = (np.cumsum(share, 1) - share).ravel()
-        self.share = share.ravel()
-        self.owner = np.repeat(np.tile(np.arange(self.n, dtype=np.int16), n), self.share)
+        self.cells = ((np.cumsum(share, 1) - share) << 10 | share).ravel()
+        self.owner = np.repeat(np.tile(np.arange(self.n, dtype=np.int16), lanes), share.ravel())
 
-    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+    def part(self, n: int, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first id, start, size of an id's part) of ranges r, in 2**(CELL_BITS + LOW_BITS)."""
+        cell, fl = self.cells.take(self.ath[:n] + r), self.first_low.take(r)
+        return fl >> 4, cell >> 10 << LOW_BITS, (cell & 1023) << LOW_BITS - (fl & 15)
+
+    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, lost: np.ndarray, r: np.ndarray) -> None:
         v2, v1 = self.v2, self.v1
-        self.w2[self.iw] = v2 + ((hit2 * 65535 - v2) >> 5)
-        self.w1[self.iw] = np.where(hit2, v1, v1 + ((hit1 * 65535 - v1) >> 5))
+        v2 = v2 + ((hit2 * 65535 - v2) >> 5)
+        v1 = np.where(hit2, v1, v1 + ((hit1 * 65535 - v1) >> 5))
+        self.w[self.iw] = v2 << 32 | v1
         new = ids | ONE
         self.t2[self.i2] = np.where(hit2, self.e2 + ((self.e2 < FULL) << ID_BITS), new)
         self.t1[self.i1] = np.where(hit1, self.e1 + ((self.e1 < FULL) << ID_BITS), new)
+        self.needed[(self.step - 1) % RENEW, :n] = np.where(lost, r, self.n)
         self.c2[:n] = self.c1[:n]
         self.c1[:n] = ids
 
 
-class _Encoder:
-    """Ranges of all lanes; 16 bits leave whenever a range falls below LEAST."""
-
-    def __init__(self, lanes: int):
-        self.range, self.value, self.at = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.digits = np.zeros((2 * BLOCK + 8, lanes), np.uint32)
-
-    def put(self, of, start, size, bits: int) -> None:
-        """Take the part [start, start + size) of 2**bits of the ranges *of*."""
-        unit = self.range[of] >> bits
-        self.value[of] += start * unit
-        left = size * unit
-        self.range[of] = left
-        low = np.flatnonzero(left < LEAST)
-        while len(low):
-            lanes = low if isinstance(of, slice) else of[low]
-            value = self.value[lanes]
-            self.digits[self.at[lanes], lanes] = value >> WINDOW - DIGIT  # may carry into the digit before
-            self.at[lanes] += 1
-            self.value[lanes] = (value & LEAST - 1) << DIGIT
-            left[low] <<= DIGIT
-            self.range[lanes] = left[low]
-            low = low[left[low] < LEAST]
-
-    def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.at))
-        for k in range(3):
-            self.digits[self.at + k, lanes] = self.value >> WINDOW - DIGIT * (k + 1) if k == 0 else self.value >> WINDOW - DIGIT * (k + 1) & 0xFFFF
-        carry = np.zeros(len(self.at), np.uint32)
-        for row in self.digits[: int(self.at.max()) + 3][::-1]:
-            row += carry
-            carry = row >> np.uint32(DIGIT)
-        columns = np.ascontiguousarray(self.digits[: int(self.at.max()) + 3].T).astype("<u2")
-        return [c[: n + 3].tobytes() for c, n in zip(columns, self.at)]
-
-
-class _Decoder:
-    """Ranges of all lanes and the coded values within them; 16 bits enter whenever a range falls below LEAST."""
-
-    def __init__(self, payloads: list[bytes]):
-        lanes = len(payloads)
-        self.digits = np.zeros((max(map(len, payloads)) // 2 + 4, lanes), np.int64)
-        for k, p in enumerate(payloads):
-            self.digits[: len(p) // 2, k] = np.frombuffer(p, "<u2")
-        self.range, self.at = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.full(lanes, 3, np.int64)
-        self.value = (self.digits[0] << 2 * DIGIT) + (self.digits[1] << DIGIT) + self.digits[2]
-
-    def look(self, of, bits: int) -> np.ndarray:
-        """Where in 2**bits the coded values stand."""
-        self.unit = self.range[of] >> bits
-        return np.minimum(self.value[of] // self.unit, (1 << bits) - 1)
-
-    def drop(self, of, start, size) -> None:
-        self.value[of] -= start * self.unit
-        left = size * self.unit
-        self.range[of] = left
-        low = np.flatnonzero(left < LEAST)
-        while len(low):
-            lanes = low if isinstance(of, slice) else of[low]
-            self.value[lanes] = self.value[lanes] << DIGIT | self.digits[self.at[lanes], lanes]
-            self.at[lanes] += 1
-            left[low] <<= DIGIT
-            self.range[lanes] = left[low]
-            low = low[left[low] < LEAST]
-
-
 def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     """A self-contained block for each array of 1 to BLOCK ids below *vocab*."""
     if len(ranges(vocab)[0]) > CELLS // 2:
@@ -169,35 +116,59 @@ def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     for at in range(0, len(order), LANES):
         part = order[at : at + LANES]
-        sizes = np.array([len(blocks[k]) for k in part])
-        ids = np.zeros((sizes[0], len(part)), np.int32)
-        for lane, k in enumerate(part):
-            ids[: sizes[lane], lane] = blocks[k]
-        m, c = _Model(len(part), vocab), _Encoder(len(part))
-        active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
-        for t in range(sizes[0]):
-            n = int(active[t])
-            now = ids[t, :n]
-            m.predict(n)
-            hit2, hit1 = now == m.p2, now == m.p1
-            edge = m.edge
-            start = np.where(hit2, 0, np.where(hit1, m.f2, edge))
-            c.put(slice(0, n), start, np.where(hit2, m.f2, np.where(hit1, edge, TOTAL) - start), TOTAL_BITS)
-            lost = np.flatnonzero(~(hit2 | hit1))
-            if len(lost):
-                x = now[lost]
-                r = m.of64[x >> 6]
-                place = m.ath[lost] + r
-                wide = LOW_BITS - m.low[r]
-                size = m.share[place] << wide
-                c.put(lost, (m.start[place] << LOW_BITS) + (x - m.first[r]) * size, size, CELL_BITS + LOW_BITS)
-                m.counts[place] += 32
-            m.learn(n, now, hit2, hit1)
-        for k, payload in zip(part, c.finish()):
+        for k, payload in zip(part, _encode([blocks[k] for k in part], vocab)):
             out[k] = MAGIC + struct.pack("<III", len(blocks[k]), vocab, zlib.crc32(blocks[k].astype("<u4").tobytes())) + payload
     return out
 
 
+def _encode(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
+    """The coded bytes of blocks, the longest first. A step codes one id of each; nothing is picked out or put back by lane but table rows."""
+    lanes, sizes = len(blocks), np.array([len(b) for b in blocks])
+    ids = np.zeros((sizes[0], lanes), np.int32)
+    for lane, b in enumerate(blocks):
+        ids[: sizes[lane], lane] = b
+    m = _Model(lanes, vocab)
+    span, value = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.zeros(lanes, np.int64)
+    digits: list[np.ndarray] = []  # for each time that some lanes let 16 bits go, those or NONE
+    active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
+    for t in range(sizes[0]):
+        n = int(active[t])
+        now, s, v = ids[t, :n].astype(np.int64), span[:n], value[:n]
+        m.predict(n)
+        hit2, hit1 = now == m.p2, now == m.p1
+        lost = ~(hit2 | hit1)
+        start = np.where(hit2, 0, np.where(hit1, m.f2, m.edge))
+        unit = s >> TOTAL_BITS
+        v += start * unit
+        s = (np.where(hit2, m.f2, np.where(hit1, m.edge, TOTAL)) - start) * unit
+        r = m.of64.take(now >> 6)
+        first, begin, size = m.part(n, r)
+        unit = s >> CELL_BITS + LOW_BITS
+        v += np.where(lost, (begin + (now - first) * size) * unit, 0)
+        s = np.where(lost, size * unit, s)
+        low = s < LEAST
+        while low.any():
+            row = np.full(lanes, NONE, np.uint32)
+            row[:n] = np.where(low, v >> WINDOW - DIGIT, NONE)  # may carry into the digit before
+            digits.append(row)
+            v[:] = np.where(low, (v & LEAST - 1) << DIGIT, v)
+            s = np.where(low, s << DIGIT, s)
+            low = s < LEAST
+        span[:n] = s
+        m.learn(n, now, hit2, hit1, lost, r)
+    digits += [(value >> WINDOW - DIGIT).astype(np.uint32), (value >> WINDOW - 2 * DIGIT & 0xFFFF).astype(np.uint32), (value & 0xFFFF).astype(np.uint32)]
+    return [_carried(d[d != NONE]) for d in np.ascontiguousarray(np.array(digits).T)]
+
+
+def _carried(digits: np.ndarray) -> bytes:
+    over = np.flatnonzero(digits > 0xFFFF)
+    while len(over):
+        digits[over] -= 1 << DIGIT
+        np.add.at(digits, over - 1, 1)
+        over = np.flatnonzero(digits > 0xFFFF)
+    return digits.astype("<u2").tobytes()
+
+
 def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; ValueError if a block is damaged."""
     out: list = [None] * len(blocks)
@@ -213,37 +184,11 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         part = [k for k in order[at : at + LANES] if heads[k][1] == vocab]
         at += len(part)
         sizes = np.array([heads[k][0] for k in part])
-        if sizes[0] > BLOCK or len(ranges(vocab)[0]) > CELLS // 2:
+        if not 0 < sizes[0] <= BLOCK or len(ranges(vocab)[0]) > CELLS // 2:
             raise ValueError("a block's head is damaged")
-        ids = np.zeros((sizes[0], len(part)), np.int32)
-        m, c = _Model(len(part), vocab), _Decoder([blocks[k][16:] for k in part])
-        active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
         try:
-            for t in range(sizes[0]):
-                n = int(active[t])
-                m.predict(n)
-                whole, edge = slice(0, n), m.edge
-                v = c.look(whole, TOTAL_BITS)
-                in2 = v < m.f2
-                miss = v >= edge
-                start = np.where(in2, 0, np.where(miss, edge, m.f2))
-                c.drop(whole, start, np.where(in2, m.f2, np.where(miss, TOTAL, edge) - start))
-                now = np.where(in2, m.p2, m.p1)
-                lost = np.flatnonzero(miss)
-                if len(lost):
-                    v = c.look(lost, CELL_BITS + LOW_BITS)
-                    r = m.owner[m.atc[lost] + (v >> LOW_BITS)]
-                    place = m.ath[lost] + r
-                    wide = LOW_BITS - m.low[r]
-                    size = m.share[place] << wide
-                    first = m.start[place] << LOW_BITS
-                    x = (v - first) // size
-                    c.drop(lost, first + x * size, size)
-                    now[lost] = m.first[r] + x
-                    m.counts[place] += 32
-                ids[t, :n] = now
-                m.learn(n, now, in2, now == m.p1)
-        except (IndexError, ZeroDivisionError) as e:
+            ids = _decode([blocks[k][16:] for k in part], sizes, vocab)
+        except IndexError as e:
             raise ValueError("a block is damaged") from e
         for lane, k in enumerate(part):
             out[k] = ids[: sizes[lane], lane].astype(np.uint32)
@@ -252,6 +197,47 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def _decode(payloads: list[bytes], sizes: np.ndarray, vocab: int) -> np.ndarray:
+    lanes = len(payloads)
+    digits = np.zeros((max(map(len, payloads)) // 2 + 4, lanes), np.int32)
+    for k, p in enumerate(payloads):
+        digits[: len(p) // 2, k] = np.frombuffer(p[: len(p) // 2 * 2], "<u2")
+    value = (digits[0].astype(np.int64) << 2 * DIGIT) + (digits[1].astype(np.int64) << DIGIT) + digits[2]
+    digits, at = digits.ravel(), np.arange(lanes) + 3 * lanes
+    ids = np.zeros((sizes[0], lanes), np.int32)
+    m, span = _Model(lanes, vocab), np.full(lanes, (1 << WINDOW) - 1, np.int64)
+    bits = CELL_BITS + LOW_BITS
+    active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
+    for t in range(sizes[0]):
+        n = int(active[t])
+        s, v = span[:n], value[:n]
+        m.predict(n)
+        unit = s >> TOTAL_BITS
+        # Quotients have at most 19 bits of 48-bit values over units of at most 36: exact in floating point.
+        place = (v / unit).astype(np.int64)
+        hit2, lost = place < m.f2, place >= m.edge
+        start = np.where(hit2, 0, np.where(lost, m.edge, m.f2))
+        v = v - start * unit
+        s = (np.where(hit2, m.f2, np.where(lost, TOTAL, m.edge)) - start) * unit
+        unit = np.maximum(s >> bits, 1)
+        place = np.minimum((v / unit).astype(np.int64), (1 << bits) - 1)
+        r = m.owner.take(m.atc[:n] + (place >> LOW_BITS))
+        first, begin, size = m.part(n, r)
+        x = ((place - begin) / size).astype(np.int64)
+        v = np.where(lost, v - (begin + x * size) * unit, v)
+        s = np.where(lost, size * unit, s)
+        now = np.where(hit2, m.p2, np.where(lost, first + x, m.p1))
+        low = s < LEAST
+        while low.any():
+            v = np.where(low, v << DIGIT | digits.take(at[:n]), v)
+            s = np.where(low, s << DIGIT, s)
+            at[:n] += low * lanes
+            low = s < LEAST
+        span[:n], value[:n], ids[t, :n] = s, v, now
+        m.learn(n, now, hit2, now == m.p1, lost, r)
+    return ids
+
+
 _coders: dict[str, TextCoder] = {}
 
 
