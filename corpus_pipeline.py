@@ -11,7 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, shared_dir
+from tidemark.llm.common import documents, shared_dir, sides_by_size, write_table
+
+#: Ids that may be sent to every task (16 bytes each); more are joined by shuffle.
+SENT_IDS = 4_000_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from tidemark.llm.quality import classify
 
     judged = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("n_bytes > 0 and not keep")
-    gone = judged.select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left_anti")
+    gone = write_table(judged.select(F.col("doc_id").alias("_doc")).distinct(), "pipeline-rejected")
+    return docs.join(sides_by_size(gone, gone.count(), SENT_IDS), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,18 +38,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest id of each SimHash component stays, once; documents without an id stay."""
     from tidemark.llm.simhash import near_duplicates as groups
 
-    kept = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    of = write_table(groups(docs).where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")), "pipeline-groups")
+    gone = of.where("doc_id <> first").select(F.col("doc_id").alias("_doc"))
+    kept = docs.join(sides_by_size(gone, gone.count(), SENT_IDS), F.col("doc_id") == F.col("_doc"), "left_anti")
+    if of.where("n > 1").limit(1).count():  # rows that repeat an id
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return kept.select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; rows with equal id and text are taken together."""
     from tidemark.llm.mixing import mix, row_key
 
-    taken = mix(docs).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
-    rows = docs.withColumn("_row", row_key()).dropDuplicates(["doc_id", "_row"])
-    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_key")))
+    taken = write_table(mix(docs).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_n")), "pipeline-taken")
+    rows = docs.withColumn("_row", row_key())
+    if taken.where("_n > 1").limit(1).count():  # repeated rows
+        rows = rows.dropDuplicates(["doc_id", "_row"])
+    wanted = taken.where("_copies > 0")
+    both = rows.join(sides_by_size(wanted, wanted.count(), SENT_IDS), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_key")))
     return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
