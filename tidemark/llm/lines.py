@@ -3,9 +3,9 @@
 Equal lines meet by digest with a partial aggregate before the shuffle.  Distinct lines get one-permutation MinHash
 signatures of their character shingles (empty bins take values of bins drawn by hash), cut into bands; lines of a
 band bucket are compared by their exact Jaccard similarity, and the links join by distributed union-find.  In a
-bucket lines are compared to the first line of each group found so far; by the triangle inequality of the
-Jaccard distance only lines near that first line can be similar to others of its group, and those are compared to
-the group.  Buckets above a size are dealt out by pairs of bounded chunks, so no task grows with a hot bucket.
+bucket all lines are compared to the first; where some aren't similar to it, the next of them leads a group, and
+by the triangle inequality of the Jaccard distance only lines near an earlier group's first can be similar to its
+other lines: those are compared.  Buckets above a size are dealt out by pairs of bounded chunks, so no task grows with a hot bucket.
 """
 
 from __future__ import annotations
@@ -85,15 +85,54 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def bucket_links(ids: list[int], lines: list[str], similar: float = SIMILAR) -> list[tuple[int, int]]:
-    """Links that connect all lines which similar pairs of this bucket connect, fewer than lines."""
+#: Bits of a shingle's hash that its line's set keeps, below the number of the line or pair in one integer: one plain sort makes all sets.
+SET_BITS = 40
+
+
+def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the distinct shingles of each line, ascending, line after line; where each line's start)."""
     h, of = shingle_hashes(lines)
-    cuts = np.searchsorted(of, np.arange(len(lines) + 1))
-    sets = [np.unique(h[cuts[k] : cuts[k + 1]]) for k in range(len(lines))]
-    near = 2 * similar - 1  # a line similar to a member is at least this similar to the group's first
-    groups: list[list[int]] = []
-    top = list(range(len(lines)))
+    key = np.sort((of.astype(np.uint64) << np.uint64(SET_BITS)) | h >> np.uint64(64 - SET_BITS))
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    return key & np.uint64((1 << SET_BITS) - 1), np.searchsorted(key >> np.uint64(SET_BITS), np.arange(len(lines) + 1, dtype=np.uint64))
+
+
+def pair_likeness(sets: np.ndarray, cuts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity of lines a[k] and b[k], for all k at once."""
+    size = np.diff(cuts)
+    n = np.concatenate([size[a], size[b]])
+    pair = np.repeat(np.concatenate([np.arange(len(a)), np.arange(len(b))]), n).astype(np.uint64)
+    starts = np.repeat(np.concatenate([cuts[a], cuts[b]]) - (np.cumsum(n) - n), n)
+    key = np.sort(pair << np.uint64(SET_BITS) | sets[starts + np.arange(len(starts))])
+    both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(SET_BITS)).astype(np.int64), minlength=len(a)) if len(key) else np.zeros(len(a), np.int64)
+    return both / (size[a] + size[b] - both)
+
+
+def bucket_links(ids: list[int], lines: list[str], starts: list[int] | None = None, similar: float = SIMILAR) -> list[tuple[int, int]]:
+    """Links that connect all lines which similar pairs of a bucket connect, fewer than lines; bucket k is lines[starts[k]:starts[k + 1]].
+
+    All lines are compared to the first of their bucket at once; where some aren't similar to it the bucket is taken apart.
+    """
+    starts = np.array([*(starts or [0]), len(lines)])
+    sets, cuts = shingle_sets(lines)
+    first = np.repeat(starts[:-1], np.diff(starts))
+    rest = np.flatnonzero(first != np.arange(len(lines)))
+    j = np.ones(len(lines))
+    j[rest] = pair_likeness(sets, cuts, first[rest], rest)
     links = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if b - a < 3 or j[a:b].min() >= similar:
+            links += [(ids[a], ids[k]) for k in range(a + 1, b) if j[k] >= similar]
+        else:
+            links += [(ids[x], ids[y]) for x, y in _apart(sets, cuts, range(a, b), similar)]
+    return links
+
+
+def _apart(sets: np.ndarray, cuts: np.ndarray, members: range, similar: float) -> list[tuple[int, int]]:
+    """Links among the lines of one bucket, group by group."""
+    near = 2 * similar - 1  # a line similar to a member is at least this similar to the group's first
+    size = np.diff(cuts)
+    open_, links, top = np.array(members), [], {k: k for k in members}
 
     def root(k: int) -> int:
         while top[k] != k:
@@ -101,29 +140,33 @@ def bucket_links(ids: list[int], lines: list[str], similar: float = SIMILAR) ->
             k = top[k]
         return k
 
-    def likeness(a: int, b: int) -> float:
-        x, y = sets[a], sets[b]
-        if min(len(x), len(y)) < similar * max(len(x), len(y)) * near:
-            return 0.0
-        both = len(x) + len(y) - len(np.union1d(x, y))
-        return both / (len(x) + len(y) - both)
-
-    for k in range(len(lines)):
-        home = None
-        for g in groups:
-            j = likeness(k, g[0])
-            hit = g[0] if j >= similar else next((m for m in g[1:] if j >= near and root(m) != root(k) and likeness(k, m) >= similar), None)
-            if hit is not None:
-                if j >= similar and home is None:
-                    home = g
-                a, b = root(k), root(hit)
-                if a != b:
-                    top[max(a, b)] = min(a, b)
-                    links.append((ids[k], ids[hit]))
-        if home is None:
-            groups.append([k])
-        else:
-            home.append(k)
+    def join(a: int, b: int) -> None:
+        x, y = root(a), root(b)
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            links.append((a, b))
+
+    groups: list[tuple[int, list[int]]] = []
+    rings: list[tuple[int, int]] = []  # (line, group): near the group's first but not similar to it
+    while len(open_):
+        # The first line that no group has takes all that are similar to it; the rest are asked again by the next first.
+        leader, others = int(open_[0]), open_[1:]
+        fit = np.minimum(size[others], size[leader]) >= near * np.maximum(size[others], size[leader])
+        j = np.zeros(len(others))
+        if fit.any():
+            j[fit] = pair_likeness(sets, cuts, np.full(fit.sum(), leader), others[fit])
+        mine = others[j >= similar].tolist()
+        for k in mine:
+            join(leader, k)
+        rings += [(k, len(groups)) for k in others[(j >= near) & (j < similar)].tolist()]
+        groups.append((leader, mine))
+        open_ = others[j < similar]
+    for k, g in rings:  # a member of the group may be similar to a line that its first isn't
+        todo = [m for m in groups[g][1] if root(m) != root(k)]
+        if todo:
+            j = pair_likeness(sets, cuts, np.full(len(todo), k), np.array(todo))
+            for m in np.array(todo)[j >= similar].tolist():
+                join(m, k)
     return links
 
 
@@ -170,26 +213,28 @@ def _links(distinct: DataFrame) -> DataFrame:
     def link(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bucket, ids, lines, found = None, [], [], []
+        bucket, ids, lines, starts = None, [], [], []
 
         def out():
+            found = bucket_links(ids, lines, starts) if ids else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
             for key, i, j, id_, line in zip(*(c.to_pylist() for c in batch.columns)):
                 if (key, i, j) != bucket:
-                    found += bucket_links(ids, lines) if len(ids) > 1 else ()
-                    bucket, ids, lines = (key, i, j), [], []
-                    if len(found) > 50_000:
+                    if len(ids) > 1000:
                         yield out()
-                        found = []
+                        ids, lines, starts = [], [], []
+                    bucket = (key, i, j)
+                    starts.append(len(ids))
                 ids.append(id_)
                 lines.append(line)
-        found += bucket_links(ids, lines) if len(ids) > 1 else ()
         yield out()
 
-    keyed = map_arrow(distinct, band, "key long, id long").withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    shared = write_table(keyed.where("n > 1"), "lines-buckets")
+    bucket = Window.partitionBy("key")
+    keyed = map_arrow(distinct, band, "key long, id long").withColumns({"n": F.count("*").over(bucket), "sum": F.sum(F.xxhash64("id").cast("decimal(20,0)")).over(bucket)})
+    # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes add up alike.
+    shared = write_table(keyed.where("n > 1").select(F.xxhash64("n", "sum").alias("key"), "id", "n").distinct(), "lines-buckets")
     wanted = shared.select("id").distinct()
     n = wanted.count()
     texts = distinct.join(F.broadcast(wanted) if n <= SENT_IDS else wanted, "id", "left_semi")

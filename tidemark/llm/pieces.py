@@ -98,6 +98,7 @@ class Normalizer:
                 pairs.pop(0)
             while pairs and not pairs[-1][1].strip(b" "):
                 end = pairs.pop()[0]
+            end = end if pairs else 0
         out, align, space = bytearray(), [], SPACE_BYTES if self.escape else b" "
         if pairs and self.prefix:
             out += space

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text, write_table
+from tidemark.llm.common import sides_by_size, whole_text, write_table
 from tidemark.plans.runtime import map_arrow
 
 #: Bytes of an n-gram, at most 7: with its length it fills a 64-bit integer.
@@ -28,6 +28,8 @@ QUANTILE, SLACK = 0.995, 1.0
 SHORT = 1.0
 #: Width of the histogram bins of ln(perplexity) in which quantiles are found.
 BIN = 1e-3
+#: Trusted ids that may be sent to every task (8 bytes each), so that their texts are counted where they are read; more are joined by shuffle.
+TRUSTED_IDS = 8_000_000
 #: Rows of a model that may be sent to every task (16 bytes each), and rows of one shard of it.
 SENT_ROWS, SHARD_ROWS = 8_000_000, 1_000_000
 
@@ -211,7 +213,8 @@ def _score_sent(rows: DataFrame, model: DataFrame, n_rows: int, order: int, name
         import pyarrow as pa
 
         if name not in _shards:
-            _shards.clear()
+            while len(_shards) > 1:  # the models of both folds stay
+                _shards.pop(next(iter(_shards)))
             _shards[name] = [Shard(*s.value) for s in sent]
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -266,19 +269,29 @@ def trusted_quantiles(scored: DataFrame, quantile: float = QUANTILE, slack: floa
     return at.where(F.col("below") >= F.lit(quantile) * F.col("total")).groupBy("everyone", "lang").agg((F.exp((F.min("bin") + 1) * BIN) * slack).alias("limit"))
 
 
+def _fold():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(2))
+
+
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, limit, keep) for each row of *docs*.
 
-    Trusted are documents labelled quality 1 and toxic 0.  perplexity is a byte's; keep means it is within the
+    Trusted are documents labelled quality 1 and toxic 0.  Documents fall into two folds by their id, and each fold is
+    scored by the model of the other's trusted documents: none by a model that has seen it, so limits hold for new ones.  perplexity is a byte's; keep means it is within the
     limit of the document's language (see SHORT), or of all trusted documents where the language (null included) has none.  A
     null or empty text has no perplexity and is not kept; without trusted documents everything else is kept.
     Repeated rows are scored one by one, repeated labels count once; columns besides those named are not read.
     """
-    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0").where("doc_id is not null").select("doc_id").distinct()
+    ids = write_table(ids, "kn-trusted")
+    ids = sides_by_size(ids, ids.count(), TRUSTED_IDS)
     base = docs.select("doc_id", "lang", "text")
     trusted = base.join(ids, "doc_id", "left_semi")
-    model = train(trusted, order)
-    scored = write_table(score(base, model, order), "kn-scored")
+    parts = []
+    for k in (0, 1):
+        model = train(trusted.where(_fold() != k), order)
+        parts.append(score(base.where(_fold() == k), model, order))
+    scored = write_table(parts[0].unionAll(parts[1]), "kn-scored")
     limits = trusted_quantiles(scored.join(ids, "doc_id", "left_semi"), quantile, slack)
     limits = write_table(limits, "kn-limits")
     per = limits.where("not everyone").select(F.col("lang").alias("_lang"), F.col("limit").alias("own"))

@@ -121,12 +121,12 @@ def links(prints: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> D
         last = level + 1 == len(BLOCKS)
         hot = None if last else write_table(sizes.where(F.col("rows") > shard_rows).select("at"), "simhash-hot")
         n_hot = 0 if last else hot.count()
-        cool = dealt if not n_hot else dealt.join(hot, "at", "left_anti")
+        cool = dealt if not n_hot else dealt.join(hot, "at", "left_anti").select("fp", "at")
         found = _search(cool, radius)
         made = found if made is None else made.unionAll(found)
         if not n_hot:
             return made
-        members = dealt.join(hot, "at", "left_semi")
+        members = dealt.join(hot, "at", "left_semi").select("fp", "at")
     return made
 
 

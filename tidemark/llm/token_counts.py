@@ -44,14 +44,11 @@ def _coder(path: str, table: dict[str, int]) -> TextCoder:
     return _coders[path]
 
 
-def _piece_coder(path: str) -> TextCoder:
+def _piece_coder(path: str):
     from tidemark.llm.pieces import Pieces
 
-    if path not in _coders:
-        p = Pieces.open(path)
-        _coders[path] = TextCoder(lambda c: len(p.chunk_ids(c)), lambda t: len(p.ids(t)), sum)
-        _coders[path].chunk = lambda c: len(p.ids(c))
-    return _coders[path]
+    p = Pieces.open(path)
+    return lambda text: len(p.bytes_of_all(text)) // 4
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
