@@ -164,9 +164,9 @@ def realised_vol(spark, sf):
     return rounded(scores(spark, sf).select("sec", "d", "vol"), 3, "vol")
 
 
-@query(WITH_BARS + f"SELECT sec, d, round(adtv, 5) AS adtv FROM {SCORES}")
+@query(WITH_BARS + f"SELECT sec, d, round(adtv + 1e-7, 5) AS adtv FROM {SCORES}")
 def adtv63(spark, sf):
-    return rounded(scores(spark, sf).select("sec", "d", "adtv"), 5, "adtv")
+    return scores(spark, sf).select("sec", "d", F.round(F.col("adtv") + 1e-7, 5).alias("adtv"))  # ties go up in both engines
 
 
 @query(WITH_BARS + f"SELECT sec, d, round(frozen_rate, 6) AS frozen_rate, CAST(stale AS BIGINT) AS stale FROM {SCORES}")
@@ -245,7 +245,9 @@ EVENT_FACTOR = f"""(SELECT event_id, sec, ex, subject, CASE WHEN factor3 IS NULL
 
 def events(spark, sf):
     e = t.actions(spark, sf)
-    return e.withColumns(act.event_columns(F.col("subject")))
+    # Each distinct subject is read once.
+    read = e.select("subject").distinct().withColumns(act.event_columns(F.col("subject")))
+    return e.join(read, "subject")
 
 
 @query(f"SELECT event_id, subject, kind AS action_type, round(factor, 9) AS price_factor, round(1 / factor, 9) AS volume_factor, CASE WHEN kind IN ('BUYBACK', 'DIVIDEND') THEN 'NO_ADJUST' WHEN factor IS NOT NULL THEN 'PARSED' ELSE 'REVIEW' END AS parse_status FROM {V1}")
@@ -289,10 +291,10 @@ def factor_product(spark, sf):
 ADJUSTED = f"(SELECT b.sec, b.d, b.close, b.volume, coalesce(exp(sum(ln(f.factor))), 1.0) AS f FROM {B} b LEFT JOIN {FACTORS} f ON f.sec = b.sec AND f.ex > b.d GROUP BY ALL)"
 
 
-@query(f"SELECT sec, d, round(close * f, 7) AS adj_close, CAST(round(volume / NULLIF(round(f, 9), 0), 0) AS BIGINT) AS adj_volume FROM {ADJUSTED}")
+@query(f"SELECT sec, d, round(close * f + 1e-9, 7) AS adj_close, CAST(round(volume / NULLIF(round(f, 9), 0), 0) AS BIGINT) AS adj_volume FROM {ADJUSTED}")
 def adjusted_bars(spark, sf):
     a = adjust.adjusted(t.bars(spark, sf), events(spark, sf))
-    return a.select("sec", "d", F.round("adj_close", 7).alias("adj_close"), F.round(F.col("volume") / F.nullif(F.round("price_factor", 9), F.lit(0.0)), 0).cast("long").alias("adj_volume"))
+    return a.select("sec", "d", F.round(F.col("adj_close") + 1e-9, 7).alias("adj_close"), F.round(F.col("volume") / F.nullif(F.round("price_factor", 9), F.lit(0.0)), 0).cast("long").alias("adj_volume"))
 
 
 @query(f"""SELECT b.sec, b.d, round(coalesce(exp(sum(ln(f.factor))), 1.0), 9) AS price_factor FROM (SELECT *, CASE WHEN sec % 2 = 0 THEN DATE '{LIVE}' END AS thru FROM {B}) b
