@@ -24,7 +24,7 @@ REACH, ALIKE, MARGIN = 220, 0.965, 0.015
 
 
 def _clean(line):
-    return F.trim(F.regexp_replace(F.translate(line, " Â", "  "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(line, "\u00a0Â", "  "), r"\s+", " "))
 
 
 def sections(notices: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def sections(notices: DataFrame) -> DataFrame:
 def effective_date(text):
     """The date that follows the last mark of effect most nearly; a bare press date doesn't count."""
     found = F.regexp_extract_all(F.regexp_replace(text, r"\s+", " "), F.lit(rf"(?is){EFFECTIVE}(?:(?!{EFFECTIVE}).){{0,{REACH}}}?({WRITTEN_DATE})"), 1)
-    last = F.regexp_replace(F.regexp_replace(F.element_at(found, -1), r"(?i)(\d)(?:st|nd|rd|th)", "$1"), r"\s*,\s*|\s+", " ")
+    last = F.regexp_replace(F.regexp_replace(F.try_element_at(found, F.lit(-1)), r"(?i)(\d)(?:st|nd|rd|th)", "$1"), r"\s*,\s*|\s+", " ")
     last = F.initcap(last)
     return F.coalesce(F.try_to_date(last, "MMMM d yyyy"), F.try_to_date(last, "d MMMM yyyy"))
 

@@ -104,5 +104,5 @@ def changed_partitions(inputs: dict[str, str], built: dict[str, str]) -> list[st
 
 def partition_fingerprints(df: DataFrame, by: str) -> DataFrame:
     """(by, n_rows, digest): a digest of each partition's multiset of rows, by sums, not XOR, of row hashes."""
-    h = F.xxhash64(*df.columns)
-    return df.groupBy(by).agg(F.count("*").alias("n_rows"), F.sum(F.pmod(h, F.lit(1 << 31))).alias("a"), F.sum(F.pmod(F.hash(*df.columns).cast("long") * h % 1000003, F.lit(1000003))).alias("b")).select(by, "n_rows", F.sha2(F.concat_ws("|", "n_rows", "a", "b"), 256).alias("digest"))
+    parts = [F.sum(F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 31))).alias(f"s{seed}") for seed in (1, 2)]
+    return df.groupBy(by).agg(F.count("*").alias("n_rows"), *parts).select(by, "n_rows", F.sha2(F.concat_ws("|", "n_rows", "s1", "s2"), 256).alias("digest"))
