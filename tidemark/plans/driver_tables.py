@@ -47,19 +47,19 @@ def isin(sec):
 ISIN_SQL = "'INE' || lpad(CAST(sec AS VARCHAR), 6, '0') || '01' || lpad(CAST(sec % 97 AS VARCHAR), 2, '0')"
 
 
-def actions(spark: SparkSession, sf_dir: str, thin: int = 10) -> DataFrame:
-    """(event_id, sec, ex, subject): every *thin*-th order as a corporate action of one of the suppliers."""
+def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, sec, ex, subject): every order as a corporate action of one of the suppliers."""
     n = table(spark, sf_dir, "supplier").agg(F.count("*").alias("n"))
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % thin == 0).join(F.broadcast(n))
+    o = table(spark, sf_dir, "orders").join(F.broadcast(n))
     return o.select(
         F.col("o_orderkey").alias("event_id"), (F.col("o_custkey") % F.col("n")).alias("sec"), F.col("o_orderdate").cast("date").alias("ex"),
-        F.element_at(F.array(*[F.lit(s) for s in SUBJECTS]), ((F.col("o_orderkey") / thin).cast("long") % len(SUBJECTS) + 1).cast("int")).alias("subject"),
+        F.element_at(F.array(*[F.lit(s) for s in SUBJECTS]), ((F.col("o_orderkey") / 10).cast("long") % len(SUBJECTS) + 1).cast("int")).alias("subject"),
     )
 
 
-def actions_sql(thin: int = 10) -> str:
+def actions_sql() -> str:
     return f"""(SELECT o_orderkey AS event_id, o_custkey % (SELECT count(*) FROM supplier) AS sec, CAST(o_orderdate AS DATE) AS ex,
-      {SUBJECT_SQL}[CAST((o_orderkey // {thin}) % {len(SUBJECTS)} + 1 AS INTEGER)] AS subject FROM orders WHERE o_orderkey % {thin} = 0)"""
+      {SUBJECT_SQL}[CAST((o_orderkey // 10) % {len(SUBJECTS)} + 1 AS INTEGER)] AS subject FROM orders)"""
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
