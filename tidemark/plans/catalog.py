@@ -404,9 +404,9 @@ def or_key_anti(spark, sf):
     return joins.or_key_anti(prices(spark, sf), e, [("isin", "e_isin"), ("sec", "e_sec")], F.abs(F.datediff("ex", "d")) <= 5).select("sec", "d")
 
 
-@query(f"""SELECT sec, d, q_sec FROM (SELECT b.sec, b.d, q.sec AS q_sec, row_number() OVER (PARTITION BY b.sec, b.d ORDER BY q.volume DESC, q.sec) AS n FROM {B} b JOIN {B} q ON q.d = b.d AND (b.sec % 7 = q.sec % 7 OR b.sec % 5 = q.sec % 5) AND q.sec <> b.sec WHERE year(b.d) = 1998) WHERE n = 1""")
+@query(f"""SELECT sec, d, q_sec FROM (SELECT b.sec, b.d, q.sec AS q_sec, row_number() OVER (PARTITION BY b.sec, b.d ORDER BY q.volume DESC, q.sec) AS n FROM {B} b JOIN {B} q ON q.d = b.d AND (b.sec % 7 = q.sec % 7 OR b.sec % 5 = q.sec % 5) AND q.sec <> b.sec) WHERE n = 1""")
 def alias_join(spark, sf):
-    b = t.bars(spark, sf).where(F.year("d") == 1998)
+    b = t.bars(spark, sf)
     al = lambda c: F.array(F.concat(F.lit("A"), c % 7), F.concat(F.lit("B"), c % 5))
     left = b.select("sec", "d", al(F.col("sec")).alias("la"))
     right = b.select(F.col("sec").alias("q_sec"), "d", F.col("volume").alias("q_volume"), al(F.col("sec")).alias("ra"))
@@ -416,7 +416,7 @@ def alias_join(spark, sf):
 
 @query()
 def greedy_assignment(spark, sf):
-    b = t.bars(spark, sf).where(F.year("d") == 1998)
+    b = t.bars(spark, sf)
     m = b.select("d", F.concat(F.lit("S"), F.col("sec") + F.col("sec") % 3).alias("symbol"), t.isin(F.floor(F.col("sec") / 2)).alias("isin"))
     r = b.select("d", F.concat(F.lit("S"), F.col("sec")).alias("symbol"), t.isin(F.floor(F.col("sec") / 2)).alias("isin"))
     return joins.assign(m.dropDuplicates(["d", "symbol"]), r, "d", "symbol", "isin")
@@ -639,9 +639,9 @@ def sym_diff(spark, sf):
     return quality.symmetric_difference(year(1997), year(1998))
 
 
-@query(f"SELECT sec, d, volume, NULL::BIGINT AS delivered FROM {B} WHERE sec % 2 = 0 UNION ALL SELECT sec, d, NULL, delivered FROM {t.DELIVERY_SQL}")
+@query(f"SELECT sec, d, volume, NULL::BIGINT AS delivered FROM {B} UNION ALL SELECT sec, d, NULL, delivered FROM {t.DELIVERY_SQL}")
 def union_by_name(spark, sf):
-    return t.bars(spark, sf).where("sec % 2 = 0").select("sec", "d", "volume").unionByName(t.delivery(spark, sf), allowMissingColumns=True)
+    return t.bars(spark, sf).select("sec", "d", "volume").unionByName(t.delivery(spark, sf), allowMissingColumns=True)
 
 
 @query(f"SELECT coalesce(o.sec, n.sec) AS key, CASE WHEN o.sec IS NULL THEN 'ADDED' WHEN n.sec IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM (SELECT sec, max(volume) AS v FROM {SPARSE} WHERE year(d) = 1997 GROUP BY 1) o FULL JOIN (SELECT sec, max(volume) AS v FROM {SPARSE} WHERE year(d) = 1998 GROUP BY 1) n ON o.sec = n.sec WHERE o.v IS DISTINCT FROM n.v")
@@ -676,9 +676,9 @@ def calendar_sessions(spark, sf):
     return calendar.sessions(t.bars(spark, sf))
 
 
-@query(f"SELECT d, dayname(d) AS weekday, CASE WHEN dayofweek(d) IN (0, 6) THEN 'WEEKEND' ELSE 'INFERRED_HOLIDAY' END AS reason FROM (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM {SPARSE} WHERE sec % 50 = 0) WHERE d NOT IN (SELECT d FROM {SPARSE} WHERE sec % 50 = 0)")
+@query(f"SELECT d, dayname(d) AS weekday, CASE WHEN dayofweek(d) IN (0, 6) THEN 'WEEKEND' ELSE 'INFERRED_HOLIDAY' END AS reason FROM (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM {SPARSE}) WHERE d NOT IN (SELECT d FROM {SPARSE})")
 def calendar_non_trading(spark, sf):
-    return calendar.non_trading(t.bars(spark, sf, "l_partkey").where("sec % 50 = 0"))
+    return calendar.non_trading(t.bars(spark, sf, "l_partkey"))
 
 
 @query(WITH_BARS + f"SELECT year, coverage, CASE WHEN coverage >= 0.99 THEN 'BACKTEST_SAFE' WHEN coverage >= 0.9 THEN 'PARTIAL' ELSE 'PRICE_DATA_ONLY' END AS label FROM (SELECT CAST(year(d) AS INTEGER) AS year, round(count(*) FILTER (WHERE traded) / count(*), 6) AS coverage FROM {DENSE} GROUP BY 1)")
@@ -771,9 +771,9 @@ def membership_timeline(spark, sf):
     return identity.timeline(c, anchor, datetime.date(2002, 1, 1))
 
 
-@query(f"SELECT d, array_to_string(list_sort(list_filter(now, lambda x: NOT list_contains(before, x))), ',') AS joined, array_to_string(list_sort(list_filter(before, lambda x: NOT list_contains(now, x))), ',') AS gone FROM (SELECT d, now, lag(now) OVER (ORDER BY d) AS before FROM (SELECT CAST(date_trunc('year', d) AS DATE) AS d, list_sort(list(DISTINCT sec)) AS now FROM {SPARSE} WHERE sec % 20 = 0 GROUP BY 1)) WHERE before IS NOT NULL")
+@query(f"SELECT d, array_to_string(list_sort(list_filter(now, lambda x: NOT list_contains(before, x))), ',') AS joined, array_to_string(list_sort(list_filter(before, lambda x: NOT list_contains(now, x))), ',') AS gone FROM (SELECT d, now, lag(now) OVER (ORDER BY d) AS before FROM (SELECT CAST(date_trunc('year', d) AS DATE) AS d, list_sort(list(DISTINCT sec)) AS now FROM {SPARSE} GROUP BY 1)) WHERE before IS NOT NULL")
 def membership_diff(spark, sf):
-    per = t.bars(spark, sf, "l_partkey").where("sec % 20 = 0").groupBy(F.trunc("d", "year").alias("d")).agg(F.collect_set("sec").alias("now"))
+    per = t.bars(spark, sf, "l_partkey").groupBy(F.trunc("d", "year").alias("d")).agg(F.collect_set("sec").alias("now"))
     two = per.withColumn("before", F.lag("now").over(Window.orderBy("d"))).where("before is not null")
     join = lambda a: F.array_join(F.array_sort(a), ",")
     return two.select("d", join(F.array_except("now", "before")).alias("joined"), join(F.array_except("before", "now")).alias("gone"))
