@@ -1,7 +1,7 @@
 """Line dedup: of each group of equal or similar lines in a corpus one stays.
 
 Equal lines meet by digest with a partial aggregate before the shuffle.  Distinct lines get one-permutation MinHash
-signatures of their character shingles (empty bins take values of bins drawn by hash), cut into bands; lines of a
+signatures of their character shingles (empty bins take values of bins drawn by hash) for each length of shingles that suits the line, cut into bands; lines of a
 band bucket are compared by their exact Jaccard similarity, and the links join by distributed union-find.  In a
 bucket all lines are compared to the first; where some aren't similar to it, the next of them leads a group, and
 by the triangle inequality of the Jaccard distance only lines near an earlier group's first can be similar to its
@@ -21,7 +21,10 @@ from tidemark.llm.components import components
 from tidemark.plans.runtime import map_arrow
 
 #: Characters of a shingle; bands and rows of a band (a pair at similarity 0.8 is missed once in 1,600); the similarity that links.
-SHINGLE, BANDS, ROWS, SIMILAR = 8, 14, 4, 0.8
+SHINGLE, BANDS, ROWS, SIMILAR = 3, 14, 4, 0.8
+#: (characters of a shingle, least and most characters of a line) by which lines are compared, similar by one being enough: a changed
+#: character spoils as many shingles as they have characters, too many of a short line's; long lines of the same words share short ones.
+KINDS = ((2, 18, 40), (SHINGLE, 0, 100), (5, 80, 200), (8, 0, 1 << 31))
 BINS = BANDS * ROWS
 #: Lines of a chunk of a bucket; ids that may be broadcast (8 bytes each).
 CHUNK, SENT_IDS = 20_000, 4_000_000
@@ -35,16 +38,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(33)
 
 
-def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all shingles, the line each belongs to); lower case; a shorter line is one shingle."""
-    padded = [s.lower().ljust(SHINGLE, "\0") for s in lines]
+    padded = [s.lower().ljust(width, "\0") for s in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h, width, p = c + np.uint64(1), 1, int(_MULTIPLIER)
-    while width < SHINGLE:
-        h = h[:-width] * np.uint64(p) + h[width:]
-        p, width = p * p & (1 << 64) - 1, width * 2
-    n = sizes - SHINGLE + 1
+    c += np.uint64(1)
+    h, last = c, len(c) - width + 1
+    for k in range(1, width):
+        h = h[:last] * _MULTIPLIER + c[k : k + last]
+    n = sizes - width + 1
     starts = np.cumsum(sizes) - sizes
     of = np.repeat(np.arange(len(lines)), n)
     places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
@@ -60,9 +63,9 @@ def _donors() -> np.ndarray:
 _DONORS = _donors()
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
+def band_keys(lines: list[str], width: int = SHINGLE) -> np.ndarray:
     """(lines x BANDS) 64-bit keys; similar lines agree on one with high probability."""
-    h, of = shingle_hashes(lines)
+    h, of = shingle_hashes(lines, width)
     none = np.uint32(0xFFFFFFFF)
     flat = np.full(len(lines) * BINS, none, np.uint32)
     bins = ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
@@ -79,7 +82,7 @@ def band_keys(lines: list[str]) -> np.ndarray:
         line, b = line[~ok], b[~ok]
     for k, bin_ in zip(line, b):  # as good as never: the next bin that has a value
         made[k, bin_] = next(v for v in np.roll(sig[k], -bin_) if v != none)
-    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(lines), 0)
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(lines), 0) + np.uint64(width << 32)
     for r in range(ROWS):
         keys = _mixed(keys * _MULTIPLIER + made[:, r::ROWS])
     return keys.view(np.int64)
@@ -89,9 +92,9 @@ def band_keys(lines: list[str]) -> np.ndarray:
 SET_BITS = 40
 
 
-def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the distinct shingles of each line, ascending, line after line; where each line's start)."""
-    h, of = shingle_hashes(lines)
+    h, of = shingle_hashes(lines, width)
     key = np.sort((of.astype(np.uint64) << np.uint64(SET_BITS)) | h >> np.uint64(64 - SET_BITS))
     key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
     return key & np.uint64((1 << SET_BITS) - 1), np.searchsorted(key >> np.uint64(SET_BITS), np.arange(len(lines) + 1, dtype=np.uint64))
@@ -108,13 +111,13 @@ def pair_likeness(sets: np.ndarray, cuts: np.ndarray, a: np.ndarray, b: np.ndarr
     return both / (size[a] + size[b] - both)
 
 
-def bucket_links(ids: list[int], lines: list[str], starts: list[int] | None = None, similar: float = SIMILAR) -> list[tuple[int, int]]:
+def bucket_links(ids: list[int], lines: list[str], starts: list[int] | None = None, similar: float = SIMILAR, width: int = SHINGLE) -> list[tuple[int, int]]:
     """Links that connect all lines which similar pairs of a bucket connect, fewer than lines; bucket k is lines[starts[k]:starts[k + 1]].
 
     All lines are compared to the first of their bucket at once; where some aren't similar to it the bucket is taken apart.
     """
     starts = np.array([*(starts or [0]), len(lines)])
-    sets, cuts = shingle_sets(lines)
+    sets, cuts = shingle_sets(lines, width)
     first = np.repeat(starts[:-1], np.diff(starts))
     rest = np.flatnonzero(first != np.arange(len(lines)))
     j = np.ones(len(lines))
@@ -207,41 +210,46 @@ def _links(distinct: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                keys = band_keys(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], ["key", "id"])
+                lines, ids = part.column(1).to_pylist(), part.column(0).to_numpy()
+                sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+                for width, least, most in KINDS:
+                    of = np.flatnonzero((sizes >= least) & (sizes <= most))
+                    if len(of):
+                        keys = band_keys([lines[k] for k in of], width)
+                        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids[of], BANDS)), pa.array(np.full(keys.size, width, np.int32))], ["key", "id", "width"])
 
     def link(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bucket, ids, lines, starts = None, [], [], []
+        bucket, kind, ids, lines, starts = None, SHINGLE, [], [], []
 
         def out():
-            found = bucket_links(ids, lines, starts) if ids else []
+            found = bucket_links(ids, lines, starts, width=kind) if ids else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            for key, i, j, id_, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, i, j) != bucket:
-                    if len(ids) > 1000:
+            for key, i, j, width, id_, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, i, j, width) != bucket:
+                    if len(ids) > 1000 or width != kind:
                         yield out()
                         ids, lines, starts = [], [], []
-                    bucket = (key, i, j)
+                    bucket, kind = (key, i, j, width), width
                     starts.append(len(ids))
                 ids.append(id_)
                 lines.append(line)
         yield out()
 
     bucket = Window.partitionBy("key")
-    keyed = map_arrow(distinct, band, "key long, id long").withColumns({"n": F.count("*").over(bucket), "sum": F.sum(F.xxhash64("id").cast("decimal(20,0)")).over(bucket)})
+    keyed = map_arrow(distinct, band, "key long, id long, width int").withColumns({"n": F.count("*").over(bucket), "sum": F.sum(F.xxhash64("id").cast("decimal(20,0)")).over(bucket)})
     # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes add up alike.
-    shared = write_table(keyed.where("n > 1").select(F.xxhash64("n", "sum").alias("key"), "id", "n").distinct(), "lines-buckets")
+    shared = write_table(keyed.where("n > 1").select(F.xxhash64("n", "sum", "width").alias("key"), "id", "n", "width").distinct(), "lines-buckets")
     wanted = shared.select("id").distinct()
     n = wanted.count()
     texts = distinct.join(F.broadcast(wanted) if n <= SENT_IDS else wanted, "id", "left_semi")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     dealt = shared.withColumn("i", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = dealt.select("key", F.least("i", "other").alias("i"), F.greatest("i", "other").alias("j"), "id").join(texts, "id").select("key", "i", "j", "id", "line")
-    return map_arrow(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id"), link, "a long, b long")
+    dealt = dealt.select("key", F.least("i", "other").alias("i"), F.greatest("i", "other").alias("j"), "width", "id").join(texts, "id").select("key", "i", "j", "width", "id", "line")
+    return map_arrow(dealt.repartition("key", "i", "j").sortWithinPartitions("width", "key", "i", "j", "id"), link, "a long, b long")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
