@@ -26,24 +26,51 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, id string, n_tokens long")
 
 
-def test_blocks_round_trip():
+def packed(ids):
+    return np.asarray(ids, "<u4").tobytes()
+
+
+def through(spark, blocks, vocab=50257):
+    """(coded, decoded) of each block, in order."""
+    df = spark.createDataFrame([(k, bytearray(packed(b))) for k, b in enumerate(blocks)], "k int, ids binary")
+    coded = df.withColumn("block", rangecoder.encoded(spark, df["ids"], vocab)).repartition(4)
+    rows = coded.withColumn("back", rangecoder.decoded(spark, coded["block"])).orderBy("k").collect()
+    return [bytes(r["block"]) for r in rows], [np.frombuffer(r["back"], "<u4") for r in rows]
+
+
+def test_blocks_round_trip(spark):
     rng = np.random.default_rng(0)
-    blocks = [rng.integers(0, 50257, n) for n in (1, 2, 777, 4096)] + [np.zeros(4096, int), np.arange(4096), np.full(300, 50256), np.tile([5, 9, 7], 500)]
-    coded = rangecoder.encode_blocks(blocks, 50257)
-    for a, b in zip(blocks, rangecoder.decode_blocks(coded)):
+    blocks = [rng.integers(0, 50257, n) for n in (1, 2, 777, 65536)] + [np.zeros(65536, int), np.arange(50000), np.full(300, 50256), np.tile([5, 9, 7], 500), rng.zipf(1.3, 20000) % 50257]
+    coded, back = through(spark, blocks)
+    for a, b in zip(blocks, back):
         assert (a == b).all()
-    assert len(coded[4]) < 300 and len(coded[7]) < 400  # what repeats costs little
-    assert rangecoder.encode_blocks([blocks[2]], 50257)[0] == coded[2]  # a block doesn't depend on its neighbours
-    for vocab in (1, 64, 300, 100_000):
+    assert len(coded[4]) < 100 and len(coded[7]) < 100  # what repeats costs little
+    assert through(spark, [blocks[2]])[0] == [coded[2]]  # a block doesn't depend on its neighbours
+    for vocab in (1, 2, 64, 300, 1_000_000, 2**31 - 1):
         b = rng.integers(0, vocab, 1000)
-        assert (rangecoder.decode_blocks(rangecoder.encode_blocks([b], vocab))[0] == b).all()
+        assert (through(spark, [b], vocab)[1][0] == b).all()
 
 
-def test_damage_is_found():
-    (good,) = rangecoder.encode_blocks([np.random.default_rng(1).integers(0, 50257, 500)], 50257)
-    for bad in (b"XXXX" + good[4:], good[:40] + bytes([good[40] ^ 1]) + good[41:], good[:10]):
-        with pytest.raises(ValueError):
-            rangecoder.decode_blocks([bad])
+def test_the_mixture_beats_general_compression_and_single_shares(spark, sf_dir):
+    bpe = ByteBpe.open(BPE)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
+    ids = np.array([k for t in texts for k in [*bpe.ids(t), 0]], "<u4")
+    blocks = [ids[k : k + rangecoder.BLOCK] for k in range(0, len(ids), rangecoder.BLOCK)]
+    size = sum(map(len, through(spark, blocks)[0]))
+    share = np.bincount(ids)[ids] / len(ids)
+    assert size < sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks)
+    assert size < -np.log2(share).sum() / 8  # order-0 entropy of all ids, its table not counted
+
+
+def test_damage_is_found(spark):
+    (good,), _ = through(spark, [np.random.default_rng(1).integers(0, 50257, 500)])
+    for bad in (b"XXXX" + good[4:], good[:40] + bytes([good[40] ^ 1]) + good[41:], good[:10], good[:4] + b"\xff" * 8 + good[12:]):
+        df = spark.createDataFrame([(bytearray(bad),)], "block binary")
+        with pytest.raises(Exception, match="block|vocabulary"):
+            df.select(rangecoder.decoded(spark, df["block"])).collect()
+    df = spark.createDataFrame([(bytearray(packed([7])),)], "ids binary")
+    with pytest.raises(Exception, match="block|vocabulary"):  # outside the vocabulary
+        df.select(rangecoder.encoded(spark, df["ids"], 7)).collect()
 
 
 def test_token_files(spark, docs, tmp_path):
@@ -61,6 +88,9 @@ def test_token_files(spark, docs, tmp_path):
     crc = {r["start"]: r["ids_crc32"] for r in rangecoder.read_digests(spark, path).collect()}
     assert all(crc[r["start"]] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in got)
     assert docs.limit(0).count() == 0
+    long_ = spark.createDataFrame([(1, "a b " * 50_000), (2, "x"), (3, "c d " * 40_000)], "doc_id long, text string")
+    rangecoder.write_ids(long_, BPE, path + "1", partitions=1)
+    assert [len(r["ids"]) for r in rangecoder.read_ids(spark, path + "1").orderBy("start").collect()] == [len(bpe.ids(t)) + 1 for t in ("a b " * 50_000, "x", "c d " * 40_000)]
     rangecoder.write_ids(docs.limit(0), BPE, path + "0")
     assert rangecoder.read_digests(spark, path + "0").count() == 0
 

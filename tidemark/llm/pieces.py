@@ -154,17 +154,13 @@ class Pieces:
         apart = not any(SPACE in p.piece.lstrip(SPACE) for p in model.pieces)
         spec = model.normalizer_spec
         self.by_chunk = apart and not self.normalizer.map.units and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and spec.escape_whitespaces and not any(p.type == kinds.USER_DEFINED for p in model.pieces)
-        self.coder = TextCoder(lambda c: np.array(self.chunk_ids(c), "<u4").tobytes(), lambda t: np.array(self.ids(t), "<u4").tobytes(), b"".join)
+        self.coder = TextCoder(lambda words: [np.array(x, "<u4").tobytes() for x in self.library.encode(words)], lambda t: np.array(self.ids(t), "<u4").tobytes(), b"".join)
         self.bytes_of_all = self._bytes if self.by_chunk else self.coder.whole
 
     def ids(self, text: str) -> list[int]:
         """The library's ids of a whole text."""
         return self.library.encode(text)
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        """The ids of a chunk that stands inside a text: the library puts its own space before a text."""
-        return self.library.encode(chunk[1:] if chunk[:1] == " " else chunk)
-
     def _bytes(self, text: str) -> bytes:
         # A written U+2581 reads as a space, so it moves chunk boundaries; a leading space gets another before it.
         return self.coder.whole(text) if SPACE in text or text[:1] == " " else self.coder(text)

@@ -1,241 +1,36 @@
 """Token-id files: an adaptive context-mixing range coder over blocks of ids.
 
-A block's model predicts each id thrice: by what last followed the two ids before it (order 2), by what last followed
-the one before it (order 1), and by how often each range of ids was needed in the block so far (order 0).  The
-mixture's weights are adaptive and kept by the confidence of both predictions; the range coder codes an id in the
-slot of the first prediction that gives it.  Blocks start from nothing and carry a checksum, so each can be read
-by itself.  Many blocks are coded side by side, one a lane of the arrays; a lane's bytes don't depend on the others.
+An id's probability mixes what followed the two ids before it (order 2), the one before it (order 1) and how often it
+stood in the block so far (order 0), with weights that adapt by the confidence of the contexts; arithmetic coding takes
+that probability.  Blocks start from nothing and carry a checksum, so each can be read by itself.  The coder runs in
+the executors' JVM (``java/RangeCoder.java``); Python only tokenises.
 """
 
 from __future__ import annotations
 
-import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import jvm
 from tidemark.llm.common import whole_text
 from tidemark.llm.tokens import ByteBpe, TextCoder
 from tidemark.plans.runtime import map_arrow
 
-#: First bytes of a block; ids of a block; blocks coded side by side.
-MAGIC, BLOCK, LANES = b"TMR1", 4096, 2048
-#: Bits of the prediction tables' indices; bits of the slots' total; steps after which the order-0 shares are made anew.
-BITS1, BITS2, TOTAL_BITS, RENEW = 11, 12, 12, 256
-TOTAL = 1 << TOTAL_BITS
-ID_BITS = 20
-ID_MASK, ONE, FULL = (1 << ID_BITS) - 1, 1 << ID_BITS, 3 << ID_BITS
-#: Bits of the order-0 shares, and of the widest range of ids.
-CELL_BITS, LOW_BITS = 9, 10
-CELLS = 1 << CELL_BITS
-#: The coder's window, and what a range falls below before 16 bits leave or enter.
-WINDOW, LEAST, DIGIT = 48, 1 << 32, 16
-NONE = 0xFFFFFFFF
-
-
-def ranges(vocab: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first id, bits within) of the ranges that order 0 counts: narrow for low ids, the frequent ones of a vocabulary."""
-    firsts, bits = [], []
-    for n, top in ((6, 1024), (8, 8192), (LOW_BITS, 1 << 62)):
-        while (at := firsts[-1] + (1 << bits[-1]) if firsts else 0) < min(top, vocab):
-            firsts.append(at)
-            bits.append(n)
-    return np.array(firsts, np.int64), np.array(bits, np.int64)
-
-
-class _Model:
-    """The predictions of all lanes, and how they learn."""
-
-    def __init__(self, lanes: int, vocab: int):
-        first, low = ranges(vocab)
-        self.n = len(first)
-        self.of64 = np.repeat(np.arange(self.n), 1 << low - 6)  # ranges are whole stretches of 64 ids
-        self.first_low = first << 4 | low
-        self.t1, self.t2 = np.zeros(lanes << BITS1, np.int32), np.zeros(lanes << BITS2, np.int32)
-        self.w = np.full(lanes * 32, 20000 << 32 | 12000, np.int64)  # weights of orders 2 and 1, of 65536
-        lane = np.arange(lanes, dtype=np.int64)
-        self.at1, self.at2, self.atw, self.ath, self.atc = lane << BITS1, lane << BITS2, lane * 32, lane * self.n, lane * CELLS
-        self.counts = np.tile(512 // (1 + np.arange(self.n)) + 1, (lanes, 1))
-        self.needed = np.full((RENEW, lanes), self.n, np.int16)
-        self.c1, self.c2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.step = 0
-
-    def predict(self, n: int) -> None:
-        """For the first n lanes: the ids predicted, and where the slots of the predictions end."""
-        if self.step % RENEW == 0:
-            self._shares()
-        self.step += 1
-        c1 = self.c1[:n]
-        self.i1 = (c1 * 0x9E3779B1 >> 20 & (1 << BITS1) - 1) + self.at1[:n]
-        self.i2 = ((self.c2[:n] * 0x2545F491 + c1) * 0x9E3779B1 >> 24 & (1 << BITS2) - 1) + self.at2[:n]
-        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.p1, self.p2 = self.e1 & ID_MASK, self.e2 & ID_MASK
-        self.iw = (self.e2 >> ID_BITS << 3 | self.e1 >> ID_BITS << 1 | (self.p1 == self.p2)) + self.atw[:n]
-        w = self.w.take(self.iw)
-        self.v2, self.v1 = w >> 32, w & 0xFFFFFFFF
-        self.f2 = (self.v2 * (TOTAL - 64) >> 16) + 16
-        self.edge = ((TOTAL - 32 - self.f2) * self.v1 >> 16) + 8 + self.f2
-
-    def _shares(self) -> None:
-        """Whole cells for each range by its count, one at least; which range each cell belongs to."""
-        lanes = len(self.counts)
-        at = (np.arange(lanes) * (self.n + 1) + self.needed).ravel()
-        self.counts += 32 * np.bincount(at, minlength=lanes * (self.n + 1)).reshape(lanes, -1)[:, : self.n]
-        self.needed[:] = self.n
-        share = self.counts * (CELLS - self.n) // self.counts.sum(1)[:, None] + 1
-        share[:, 0] += CELLS - share.sum(1)
-        self.cells = ((np.cumsum(share, 1) - share) << 10 | share).ravel()
-        self.owner = np.repeat(np.tile(np.arange(self.n, dtype=np.int16), lanes), share.ravel())
-
-    def part(self, n: int, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first id, start, size of an id's part) of ranges r, in 2**(CELL_BITS + LOW_BITS)."""
-        cell, fl = self.cells.take(self.ath[:n] + r), self.first_low.take(r)
-        return fl >> 4, cell >> 10 << LOW_BITS, (cell & 1023) << LOW_BITS - (fl & 15)
-
-    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, lost: np.ndarray, r: np.ndarray) -> None:
-        v2, v1 = self.v2, self.v1
-        v2 = v2 + ((hit2 * 65535 - v2) >> 5)
-        v1 = np.where(hit2, v1, v1 + ((hit1 * 65535 - v1) >> 5))
-        self.w[self.iw] = v2 << 32 | v1
-        new = ids | ONE
-        self.t2[self.i2] = np.where(hit2, self.e2 + ((self.e2 < FULL) << ID_BITS), new)
-        self.t1[self.i1] = np.where(hit1, self.e1 + ((self.e1 < FULL) << ID_BITS), new)
-        self.needed[(self.step - 1) % RENEW, :n] = np.where(lost, r, self.n)
-        self.c2[:n] = self.c1[:n]
-        self.c1[:n] = ids
-
-
-def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
-    """A self-contained block for each array of 1 to BLOCK ids below *vocab*."""
-    if len(ranges(vocab)[0]) > CELLS // 2:
-        raise ValueError(f"{vocab} ids are more than a block's model holds")
-    out: list[bytes] = [b""] * len(blocks)
-    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    for at in range(0, len(order), LANES):
-        part = order[at : at + LANES]
-        for k, payload in zip(part, _encode([blocks[k] for k in part], vocab)):
-            out[k] = MAGIC + struct.pack("<III", len(blocks[k]), vocab, zlib.crc32(blocks[k].astype("<u4").tobytes())) + payload
-    return out
-
-
-def _encode(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
-    """The coded bytes of blocks, the longest first. A step codes one id of each; nothing is picked out or put back by lane but table rows."""
-    lanes, sizes = len(blocks), np.array([len(b) for b in blocks])
-    ids = np.zeros((sizes[0], lanes), np.int32)
-    for lane, b in enumerate(blocks):
-        ids[: sizes[lane], lane] = b
-    m = _Model(lanes, vocab)
-    span, value = np.full(lanes, (1 << WINDOW) - 1, np.int64), np.zeros(lanes, np.int64)
-    digits: list[np.ndarray] = []  # for each time that some lanes let 16 bits go, those or NONE
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
-    for t in range(sizes[0]):
-        n = int(active[t])
-        now, s, v = ids[t, :n].astype(np.int64), span[:n], value[:n]
-        m.predict(n)
-        hit2, hit1 = now == m.p2, now == m.p1
-        lost = ~(hit2 | hit1)
-        start = np.where(hit2, 0, np.where(hit1, m.f2, m.edge))
-        unit = s >> TOTAL_BITS
-        v += start * unit
-        s = (np.where(hit2, m.f2, np.where(hit1, m.edge, TOTAL)) - start) * unit
-        r = m.of64.take(now >> 6)
-        first, begin, size = m.part(n, r)
-        unit = s >> CELL_BITS + LOW_BITS
-        v += np.where(lost, (begin + (now - first) * size) * unit, 0)
-        s = np.where(lost, size * unit, s)
-        low = s < LEAST
-        while low.any():
-            row = np.full(lanes, NONE, np.uint32)
-            row[:n] = np.where(low, v >> WINDOW - DIGIT, NONE)  # may carry into the digit before
-            digits.append(row)
-            v[:] = np.where(low, (v & LEAST - 1) << DIGIT, v)
-            s = np.where(low, s << DIGIT, s)
-            low = s < LEAST
-        span[:n] = s
-        m.learn(n, now, hit2, hit1, lost, r)
-    digits += [(value >> WINDOW - DIGIT).astype(np.uint32), (value >> WINDOW - 2 * DIGIT & 0xFFFF).astype(np.uint32), (value & 0xFFFF).astype(np.uint32)]
-    return [_carried(d[d != NONE]) for d in np.ascontiguousarray(np.array(digits).T)]
-
-
-def _carried(digits: np.ndarray) -> bytes:
-    over = np.flatnonzero(digits > 0xFFFF)
-    while len(over):
-        digits[over] -= 1 << DIGIT
-        np.add.at(digits, over - 1, 1)
-        over = np.flatnonzero(digits > 0xFFFF)
-    return digits.astype("<u2").tobytes()
-
-
-def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
-    """The ids of each block; ValueError if a block is damaged."""
-    out: list = [None] * len(blocks)
-    heads = []
-    for b in blocks:
-        if b[:4] != MAGIC or len(b) < 22:
-            raise ValueError("not a block of token ids")
-        heads.append(struct.unpack_from("<III", b, 4))
-    order = sorted(range(len(blocks)), key=lambda k: (heads[k][1], -heads[k][0]))
-    at = 0
-    while at < len(order):
-        vocab = heads[order[at]][1]
-        part = [k for k in order[at : at + LANES] if heads[k][1] == vocab]
-        at += len(part)
-        sizes = np.array([heads[k][0] for k in part])
-        if not 0 < sizes[0] <= BLOCK or len(ranges(vocab)[0]) > CELLS // 2:
-            raise ValueError("a block's head is damaged")
-        try:
-            ids = _decode([blocks[k][16:] for k in part], sizes, vocab)
-        except IndexError as e:
-            raise ValueError("a block is damaged") from e
-        for lane, k in enumerate(part):
-            out[k] = ids[: sizes[lane], lane].astype(np.uint32)
-            if zlib.crc32(out[k].astype("<u4").tobytes()) != heads[k][2]:
-                raise ValueError("a block's checksum is wrong")
-    return out
-
-
-def _decode(payloads: list[bytes], sizes: np.ndarray, vocab: int) -> np.ndarray:
-    lanes = len(payloads)
-    digits = np.zeros((max(map(len, payloads)) // 2 + 4, lanes), np.int32)
-    for k, p in enumerate(payloads):
-        digits[: len(p) // 2, k] = np.frombuffer(p[: len(p) // 2 * 2], "<u2")
-    value = (digits[0].astype(np.int64) << 2 * DIGIT) + (digits[1].astype(np.int64) << DIGIT) + digits[2]
-    digits, at = digits.ravel(), np.arange(lanes) + 3 * lanes
-    ids = np.zeros((sizes[0], lanes), np.int32)
-    m, span = _Model(lanes, vocab), np.full(lanes, (1 << WINDOW) - 1, np.int64)
-    bits = CELL_BITS + LOW_BITS
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
-    for t in range(sizes[0]):
-        n = int(active[t])
-        s, v = span[:n], value[:n]
-        m.predict(n)
-        unit = s >> TOTAL_BITS
-        # Quotients have at most 19 bits of 48-bit values over units of at most 36: exact in floating point.
-        place = (v / unit).astype(np.int64)
-        hit2, lost = place < m.f2, place >= m.edge
-        start = np.where(hit2, 0, np.where(lost, m.edge, m.f2))
-        v = v - start * unit
-        s = (np.where(hit2, m.f2, np.where(lost, TOTAL, m.edge)) - start) * unit
-        unit = np.maximum(s >> bits, 1)
-        place = np.minimum((v / unit).astype(np.int64), (1 << bits) - 1)
-        r = m.owner.take(m.atc[:n] + (place >> LOW_BITS))
-        first, begin, size = m.part(n, r)
-        x = ((place - begin) / size).astype(np.int64)
-        v = np.where(lost, v - (begin + x * size) * unit, v)
-        s = np.where(lost, size * unit, s)
-        now = np.where(hit2, m.p2, np.where(lost, first + x, m.p1))
-        low = s < LEAST
-        while low.any():
-            v = np.where(low, v << DIGIT | digits.take(at[:n]), v)
-            s = np.where(low, s << DIGIT, s)
-            at[:n] += low * lanes
-            low = s < LEAST
-        span[:n], value[:n], ids[t, :n] = s, v, now
-        m.learn(n, now, hit2, now == m.p1, lost, r)
-    return ids
+#: Ids of a block, 65,536 at most; blocks that a Python worker hands over at once.
+BLOCK, AT_ONCE = 1 << 16, 8
+
+
+def encoded(spark: SparkSession, ids: Column, vocab: int) -> Column:
+    """A self-contained block of 1 to 65,536 ids below *vocab*, given as little-endian 32-bit integers."""
+    return jvm.call(spark, "tidemark_range_encode", ids, F.lit(vocab))
+
+
+def decoded(spark: SparkSession, block: Column) -> Column:
+    """The ids of a block as little-endian 32-bit integers; a damaged block fails."""
+    return jvm.call(spark, "tidemark_range_decode", block)
 
 
 _coders: dict[str, TextCoder] = {}
@@ -244,66 +39,49 @@ _coders: dict[str, TextCoder] = {}
 def _coder(path: str) -> TextCoder:
     if path not in _coders:
         bpe = ByteBpe.open(path)
-        _coders[path] = TextCoder(lambda c: np.array(bpe.chunk_ids(c), "<u4").tobytes(), lambda t: np.array(bpe.ids(t), "<u4").tobytes(), b"".join)
+        _coders[path] = TextCoder(bpe.words_ids, lambda t: np.array(bpe.ids(t), "<u4").tobytes(), b"".join, bpe.holds_added)
     return _coders[path]
 
 
-FILE = "part int, seq long, n_tokens long, open boolean, doc_ids array<{kind}>, doc_tokens array<long>, block binary"
+#: part and seq order the blocks; piece is 0 for a block of whole documents, else counts the blocks of one longer document; at:
+#: ids of the part before the block, or before that document; doc_from: where in the block each document starts.
+FILE = "part int, seq long, piece int, at long, n_tokens long, doc_ids array<{kind}>, doc_from array<long>"
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, partitions: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Write the ids of all texts, each with *end_id* after it, in ascending order of (id, text hash) as a folder of token-id files.
 
     Files are Parquet with a coded block a row: any file system that Spark writes to serves, and a lost task leaves
-    nothing behind.  part and seq order the blocks; doc_ids and doc_tokens say whose ids a block holds, and open that
-    its last document goes on in the next.  Null ids come first, a null text is the empty text (its end id
-    only), repeated rows each stay.
+    nothing behind.  A block holds whole documents, or a piece of one that is longer than a block.  Null ids come
+    first, a null text is the empty text (its end id only), repeated rows each stay; an empty table gives a folder
+    without blocks; other columns are not read.
     """
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).withColumn("h", F.xxhash64("text"))
     kind = rows.schema["id"].dataType.simpleString()
     order = [F.col("id").asc_nulls_first(), F.col("h")]
     tail = np.array([end_id], "<u4").tobytes()
+    vocab = max(ByteBpe.open(tokenizer).size, end_id + 1)
 
     def stream(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, part, seq = _coder(tokenizer), TaskContext.get().partitionId(), 0
-        vocab = max(ByteBpe.open(tokenizer).size, end_id + 1)
-        held, n_held = [], 0
-        owners: list[list] = []  # [id, ids not yet in a block]
-        kinds = None
-
-        def blocks(last: bool):
-            nonlocal held, n_held, owners, seq
-            ids = np.frombuffer(b"".join(held), "<u4")
-            cut = len(ids) if last else len(ids) // BLOCK * BLOCK
-            parts = [ids[k : min(k + BLOCK, cut)] for k in range(0, cut, BLOCK)]
-            at, lists = 0, ([], [], [])
-            for p in parts:
-                room, whose, n_of = len(p), [], []
-                while room:
-                    took = min(room, owners[at][1])
-                    whose.append(owners[at][0])
-                    n_of.append(took)
-                    room -= took
-                    owners[at][1] -= took
-                    goes_on = owners[at][1] > 0
-                    at += not goes_on
-                lists[0].append(whose)
-                lists[1].append(n_of)
-                lists[2].append(goes_on)
-            coded = encode_blocks(parts, vocab)
-            n = len(parts)
-            made = pa.RecordBatch.from_arrays(
-                [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()), pa.array([len(p) for p in parts], pa.int64()), pa.array(lists[2], pa.bool_()), pa.array(lists[0], pa.list_(kinds)), pa.array(lists[1], pa.list_(pa.int64())), pa.array(coded, pa.binary())],
-                ["part", "seq", "n_tokens", "open", "doc_ids", "doc_tokens", "block"],
-            )
-            seq += n
-            owners = owners[at:]
-            held = [ids[cut:].tobytes()]
-            n_held = len(ids) - cut
+        encode, part, seq, before = _coder(tokenizer), TaskContext.get().partitionId(), 0, 0
+        open_, n_open, ready, kinds = [], 0, [], None  # open_: (id, ids) of the documents of the block to come
+
+        def close():
+            nonlocal open_, n_open, seq, before
+            if open_:
+                sizes = [len(x) // 4 for _, x in open_]
+                ready.append((part, seq, 0, before, n_open, [d for d, _ in open_], [0, *np.cumsum(sizes[:-1]).tolist()], b"".join(x for _, x in open_)))
+                seq, before, open_, n_open = seq + 1, before + n_open, [], 0
+
+        def out():
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(kinds), pa.list_(pa.int64()), pa.binary()]
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready), types)], [*(f.split()[0] for f in FILE.split(", ")), "ids"])
+            ready.clear()
             return made
 
         for batch in batches:
@@ -311,74 +89,60 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, parti
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
                 for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    coded = encode(text) + tail
-                    held.append(coded)
-                    owners.append([doc, len(coded) // 4])
-                    n_held += len(coded) // 4
-                if n_held >= BLOCK * LANES:
-                    yield blocks(False)
-        if n_held:
-            yield blocks(True)
+                    ids = encode(text) + tail
+                    size = len(ids) // 4
+                    if n_open + size > BLOCK:
+                        close()
+                    if size > BLOCK:
+                        for k in range(0, size, BLOCK):
+                            ready.append((part, seq, k // BLOCK + 1, before, min(BLOCK, size - k), [doc], [0], ids[4 * k : 4 * (k + BLOCK)]))
+                            seq += 1
+                            if len(ready) >= AT_ONCE:
+                                yield out()
+                        before += size
+                    else:
+                        open_.append((doc, ids))
+                        n_open += size
+                    if len(ready) >= AT_ONCE:
+                        yield out()
+        close()
+        if ready:
+            yield out()
 
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
-    map_arrow(dealt, stream, FILE.format(kind=kind)).write.parquet(path)
+    made = map_arrow(dealt, stream, FILE.format(kind=kind) + ", ids binary")
+    made.withColumn("block", encoded(spark, F.col("ids"), vocab)).drop("ids").write.parquet(path)
+
 
+def read_packed(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
+    """(id, start, packed) for each document of a folder of token-id files: its ids as little-endian 32-bit integers.
 
-def _read(spark: SparkSession, path: str, emit, schema: str, names: list[str]) -> DataFrame:
-    """Rows emit(id, start, ids of the document) of a folder of token-id files."""
+    Blocks are decoded where they are read and whole documents are cut out of them there; only the pieces of documents
+    longer than a block are shuffled.
+    """
     files = spark.read.parquet(path)
-    per = {r["part"]: r["n"] for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}  # a row a part
+    # One row a part.
+    per = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
     starts, total = {}, 0
-    for part in sorted(per):
-        starts[part], total = total, total + per[part]
-    kind = files.schema["doc_ids"].dataType.elementType.simpleString()
-
-    def read(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        now, at, pieces, kinds = None, 0, [], None
-
-        def walk(rows):
-            nonlocal now, at, pieces
-            out = []
-            for (part, open_, whose, n_of, _), ids in zip(rows, decode_blocks([r[4] for r in rows])):
-                if part != now:
-                    now, at, pieces = part, starts[part], []
-                k = 0
-                for j, (doc, n) in enumerate(zip(whose, n_of)):
-                    pieces.append(ids[k : k + n])
-                    k += n
-                    if not (open_ and j == len(whose) - 1):
-                        full = np.concatenate(pieces) if len(pieces) > 1 else pieces[0]
-                        out.append((doc, at, *emit(full)))
-                        at, pieces = at + len(full), []
-            columns = list(zip(*out)) if out else [()] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [kinds, *kinds_of(pa)])], names)
-
-        waiting: list = []
-        for batch in batches:
-            kinds = batch.column(2).type.value_type
-            for k in range(0, batch.num_rows, 256):
-                waiting += zip(*(c.to_pylist() for c in batch.slice(k, 256).columns))
-                while len(waiting) >= LANES:
-                    yield walk(waiting[:LANES])
-                    waiting = waiting[LANES:]
-        if waiting:
-            yield walk(waiting)
-
-    def kinds_of(pa):
-        return [{"long": pa.int64(), "array<int>": pa.list_(pa.int32())}[f.split()[1]] for f in schema.split(", ")]
-
-    n = max(1, len(per))
-    dealt = files.repartitionByRange(n, "part").sortWithinPartitions("part", "seq").select("part", "open", "doc_ids", "doc_tokens", "block")
-    return map_arrow(dealt, read, f"{names[0]} {kind}, {schema}")
+    for r in sorted(per, key=lambda r: r["part"]):
+        starts[r["part"]], total = total, total + r["n"]
+    begin = F.element_at(F.create_map(*[F.lit(x) for pair in starts.items() for x in pair]), F.col("part")) if starts else F.lit(0)
+    at = (begin + F.col("at")).cast("long").alias("at")
+    place = F.transform("doc_from", lambda a, k: F.struct(F.get("doc_ids", k).alias("id"), a.alias("a"), F.coalesce(F.get("doc_from", k + 1), F.col("n_tokens")).alias("b")))
+    blocks = files.where("piece = 0").select(at, place.alias("places"), decoded(spark, F.col("block")).alias("ids"))
+    cut = blocks.select("at", "ids", F.explode("places").alias("x"))
+    whole = cut.select(F.col("x.id").alias(id_column), (F.col("at") + F.col("x.a")).alias("start"), F.substring("ids", (F.col("x.a") * 4 + 1).cast("int"), ((F.col("x.b") - F.col("x.a")) * 4).cast("int")).alias("packed"))
+    pieces = files.where("piece > 0").select("part", at, "piece", F.get("doc_ids", F.lit(0)).alias("id"), decoded(spark, F.col("block")).alias("ids"))
+    long_ = pieces.groupBy("at", "id").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p"))
+    joined = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
+    return whole.unionAll(long_.select(F.col("id").alias(id_column), F.col("at").alias("start"), joined.alias("packed")))
 
 
 def read_ids(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
     """(id, start, ids) for each document of a folder of token-id files; start is the number of ids before it in the whole folder."""
-    return _read(spark, path, lambda ids: (ids.astype(np.int32),), "start long, ids array<int>", [id_column, "start", "ids"])
+    return read_packed(spark, path, id_column).select(id_column, "start", jvm.call(spark, "tidemark_ints", F.col("packed")).alias("ids"))
 
 
 def read_digests(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) for each document of a folder of token-id files."""
-    return _read(spark, path, lambda ids: (len(ids), zlib.crc32(ids.astype("<u4").tobytes())), "start long, n_tokens long, ids_crc32 long", [id_column, "start", "n_tokens", "ids_crc32"])
+    return read_packed(spark, path, id_column).select(id_column, "start", (F.octet_length("packed") / 4).cast("long").alias("n_tokens"), F.crc32("packed").alias("ids_crc32"))

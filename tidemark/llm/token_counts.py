@@ -40,7 +40,7 @@ def frequent_lengths(path: str, rows: int = TABLE_ROWS) -> dict[str, int]:
 def _coder(path: str, table: dict[str, int]) -> TextCoder:
     if path not in _coders:
         bpe = ByteBpe.open(path)
-        _coders[path] = TextCoder(lambda c: len(bpe.chunk_ids(c)), lambda t: len(bpe.ids(t)), sum, table)
+        _coders[path] = TextCoder(lambda words: [len(x) // 4 for x in bpe.words_ids(words)], lambda t: len(bpe.ids(t)), sum, bpe.holds_added, table)
     return _coders[path]
 
 

@@ -2,38 +2,20 @@
 
 Both tokenizer families split a text before a space that follows a non-space character, whatever stands
 around it, so the ids of a text are those of its chunks (``" word"``) joined.  Each Python worker keeps a
-bounded cache from chunk to result; the library itself encodes what the cache lacks, and whole texts whose
-white space is not plain single spaces.
+bounded cache from chunk to result; what the cache lacks is encoded at once for a text.  The library itself encodes
+whole texts whose white space is not plain single spaces, and those that hold an added string of the vocabulary.
 """
 
 from __future__ import annotations
 
 import os
 
+import numpy as np
+
 #: Chunks that a worker's cache holds at most; later ones are encoded each time they occur.
 CACHE_ENTRIES = 500_000
 
 
-class NotPlain(Exception):
-    """The chunk boundaries of this text are not plain single spaces."""
-
-
-class ChunkCache(dict):
-    """word → result for the chunk made of a space and the word; ``encode`` makes what is missing."""
-
-    def __init__(self, encode, entries: int = CACHE_ENTRIES):
-        super().__init__()
-        self.encode, self.entries = encode, entries
-
-    def __missing__(self, word: str):
-        if not word or word[-1].isspace():
-            raise NotPlain
-        found = self.encode(" " + word)
-        if len(self) < self.entries:
-            self[word] = found
-        return found
-
-
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-ins of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from U+0100."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -81,34 +63,59 @@ class ByteBpe:
             return None
         letters = byte_alphabet()
         ranks = {bytes(letters[c] for c in token): k for token, k in self.vocab.items() if token not in self.added}
+        self.opens = np.zeros(1 + max(ranks.values()), bool)
+        self.opens[[k for t, k in ranks.items() if t[:1] == b" "]] = True
         return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
         """The library's ids of a whole text, its special strings handled as by default."""
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        """The ids of one chunk. Latin letters only for the fast encoder: other scripts' classes may differ by library version."""
-        if self.pieces is None or (not chunk.isascii() and max(chunk) > "ɏ") or any(t in chunk for t in self.added):
-            return self.ids(chunk)
-        return self.pieces.encode_ordinary(chunk)
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        """The ids, as little-endian unsigned 32-bit integers, of the chunk ``" " + word`` of each word without an added string.
+
+        Latin letters only for the fast encoder: other scripts' classes may differ by library version.
+        """
+        if self.pieces is None:
+            return [self._packed(" " + w) for w in words]
+        plain = [w for w in words if w.isascii() or max(w) <= "\u024f"]
+        # Each chunk's first token, and no other, starts with the space.
+        ids = np.array(self.pieces.encode_ordinary(" " + " ".join(plain)) if plain else [], "<u4")
+        starts = np.flatnonzero(self.opens[ids]) * 4
+        data, cuts = ids.tobytes(), [*starts.tolist(), len(ids) * 4]
+        made = dict(zip(plain, (data[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return [made[w] if w in made else self._packed(" " + w) for w in words]
+
+    def _packed(self, text: str) -> bytes:
+        return np.array(self.ids(text), "<u4").tobytes()
+
+    def holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
 
 
 class TextCoder:
-    """Applies a chunk encoder to whole texts: ``join(results of chunks)`` or ``whole(text)``."""
+    """Applies an encoder of words, of the chunk ``" " + word`` each, to whole texts: ``join(results)`` or ``whole(text)``.
 
-    def __init__(self, chunk, whole, join, table: dict | None = None, entries: int = CACHE_ENTRIES):
-        self.chunk, self.whole, self.join = chunk, whole, join
-        self.cache = ChunkCache(chunk, entries)
-        if table:
-            self.cache.update(table)
+    Results are truthy: a chunk has an id at least.  *apart* tells texts that only ``whole`` may encode.
+    """
+
+    def __init__(self, words, whole, join, apart=None, table: dict | None = None, entries: int = CACHE_ENTRIES):
+        self.words, self.whole, self.join, self.apart, self.entries = words, whole, join, apart, entries
+        self.cache = dict(table or {})
 
     def __call__(self, text: str):
+        if self.apart and self.apart(text):
+            return self.whole(text)
         first, *words = text.split(" ")
-        try:
-            if first and first[-1].isspace():
-                raise NotPlain
-            rest = [*map(self.cache.__getitem__, words)]
-        except NotPlain:
+        found = [*map(self.cache.get, words)]
+        if first and first[-1].isspace():
             return self.whole(text)
-        return self.join([self.chunk(first), *rest] if first else rest)
+        if not all(found):
+            missing = [*{w for w, f in zip(words, found) if not f}]
+            if any(not w or w[-1].isspace() for w in missing):  # not plain single spaces
+                return self.whole(text)
+            made = dict(zip(missing, self.words(missing)))
+            found = [f or made[w] for w, f in zip(words, found)]
+            if len(self.cache) < self.entries:
+                self.cache.update(made)
+        return self.join([self.whole(first), *found] if first else found)
