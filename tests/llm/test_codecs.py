@@ -172,3 +172,21 @@ def test_token_counts_equal_the_library(docs, path):
     got = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in count_tokens(docs, path).collect())
     want = sorted((r["doc_id"] or -1, len((r["text"] or "").encode()), count(r["text"] or ""), count(r["text"] or "") > 1024) for r in docs.collect())
     assert got == want
+
+
+def test_latin_ids_equal_the_library(spark, sf_dir):
+    rng = np.random.default_rng(5)
+    alphabet = list("abcdefghijklmnopqrstuvwxyz" * 3 + "  \n\t\r''.,;!?-()[]<|>0123456789ABCéèüßñøŁžɏ²½×÷ªº§") + ["'s", "'re", "'ll", " 've", "  ", "\n\n", "don't", " the", "<|endoftext|>", " ", "日", "\x0b", "\x85"]
+    weights = np.array([1.0] * (len(alphabet) - 4) + [0.02] * 4)
+    texts = ["".join(rng.choice(alphabet, n, p=weights / weights.sum())) for n in rng.integers(0, 120, 1500)]
+    texts += ["x" * 5000, "ab" * 3000, "".join(rng.choice(list("abcde"), 3000)), "=" * 700, " " * 400, "\n" * 300 + "a"]
+    texts += [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + [t for t in TEXTS if t]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    bpe, n = ByteBpe.open(BPE), 0
+    for r in df.select("k", "text", rangecoder.latin_ids(spark, df["text"], BPE).alias("ids")).collect():
+        if r["ids"] is not None:
+            assert np.frombuffer(r["ids"], "<u4").tolist() == bpe.ids(r["text"]), r["text"]
+            n += 1
+        else:
+            assert any(c > "ɏ" or c in "\x0b\x85\x00\x1c\xa0" for c in r["text"]) or "<|endoftext|>" in r["text"]
+    assert n > 1000

@@ -45,12 +45,18 @@ def _load(spark: SparkSession) -> dict:
     return _loaded[app]
 
 
-def call(spark: SparkSession, name: str, *columns: Column) -> Column:
-    """The function *name* of FUNCTIONS applied to columns, registered with the session."""
-    kind, result = FUNCTIONS[name]
+def register(spark: SparkSession, name: str, kind: str, result: str, *arguments) -> None:
+    """Make an object of class *kind* from *arguments* (bytes or strings) the SQL function *name* of the session."""
     gateway = spark.sparkContext._gateway
-    none = gateway.new_array(gateway.jvm.Object, 0)
-    made = _load(spark)[kind].getConstructor(gateway.new_array(gateway.jvm.Class, 0)).newInstance(none)
+    values, types = gateway.new_array(gateway.jvm.Object, len(arguments)), gateway.new_array(gateway.jvm.Class, len(arguments))
+    for k, x in enumerate(arguments):
+        values[k], types[k] = x, gateway.jvm.Class.forName("[B" if isinstance(x, (bytes, bytearray)) else "java.lang.String")
+    made = _load(spark)[kind].getConstructor(types).newInstance(values)
     session = spark._jsparkSession
     session.udf().register(name, made, session.parseDataType(_parse_datatype_string(result).json()))
+
+
+def call(spark: SparkSession, name: str, *columns: Column) -> Column:
+    """The function *name* of FUNCTIONS applied to columns."""
+    register(spark, name, *FUNCTIONS[name])
     return F.call_udf(name, *columns)

@@ -3,11 +3,13 @@
 An id's probability mixes what followed the two ids before it (order 2), the one before it (order 1) and how often it
 stood in the block so far (order 0), with weights that adapt by the confidence of the contexts; arithmetic coding takes
 that probability.  Blocks start from nothing and carry a checksum, so each can be read by itself.  The coder runs in
-the executors' JVM (``java/RangeCoder.java``); Python only tokenises.
+the executors' JVM (``java/RangeCoder.java``), and so do the vocabulary's merges for texts of Latin letters
+(``java/ByteBpe.java``); Python has the library encode other texts and puts blocks together.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,16 @@ def decoded(spark: SparkSession, block: Column) -> Column:
     return jvm.call(spark, "tidemark_range_decode", block)
 
 
+def latin_ids(spark: SparkSession, text: Column, path: str) -> Column:
+    """The ids of texts of Latin letters and plain white space as little-endian 32-bit integers; null for the library's own."""
+    spec = ByteBpe.open(path).merges()
+    if spec is None:
+        return F.lit(None).cast("binary")
+    name = f"tidemark_bpe_{zlib.crc32(b''.join(spec[:2]))}"
+    jvm.register(spark, name, "tidemark.ByteBpe", "binary", *spec)
+    return F.call_udf(name, text)
+
+
 _coders: dict[str, TextCoder] = {}
 
 
@@ -88,8 +100,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, parti
             kinds = batch.column(0).type
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    ids = encode(text) + tail
+                for doc, text, ids in zip(*(c.to_pylist() for c in piece.columns)):
+                    ids = (encode(text) if ids is None else ids) + tail
                     size = len(ids) // 4
                     if n_open + size > BLOCK:
                         close()
@@ -109,7 +121,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, parti
         if ready:
             yield out()
 
-    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text", latin_ids(spark, F.col("text"), tokenizer).alias("ids"))
+    dealt = dealt.select("id", F.when(F.col("ids").isNull(), F.col("text")).alias("text"), "ids")
     made = map_arrow(dealt, stream, FILE.format(kind=kind) + ", ids binary")
     made.withColumn("block", encoded(spark, F.col("ids"), vocab)).drop("ids").write.parquet(path)
 

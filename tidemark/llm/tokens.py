@@ -53,6 +53,7 @@ class ByteBpe:
         """A faster encoder of single chunks, where the vocabulary's ids are the merge ranks of plain byte-level BPE."""
         pre = spec.get("pre_tokenizer") or {}
         merges = [m if isinstance(m, list) else m.split(" ", 1) for m in spec["model"].get("merges", [])]
+        self.pairs = merges
         in_order = all(self.vocab.get(a + b) == 256 + k for k, (a, b) in enumerate(merges))
         if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not in_order:
             return None
@@ -67,6 +68,14 @@ class ByteBpe:
         self.opens[[k for t, k in ranks.items() if t[:1] == b" "]] = True
         return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def merges(self) -> tuple[bytes, bytes, str] | None:
+        """(left, right and joined id of each merge; ids of the 256 bytes, all as 32-bit integers; added strings), for plain byte-level vocabularies."""
+        if self.pieces is None:
+            return None
+        letters = {b: c for c, b in byte_alphabet().items()}
+        single = np.array([self.vocab[letters[b]] for b in range(256)], "<u4")
+        return np.array([(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in self.pairs], "<u4").tobytes(), single.tobytes(), "\0".join(self.added)
+
     def ids(self, text: str) -> list[int]:
         """The library's ids of a whole text, its special strings handled as by default."""
         return self.library.encode(text, add_special_tokens=False).ids
