@@ -86,11 +86,16 @@ def test_links_lose_none(spark, shard_rows):
     assert all((prints[a] ^ prints[b]).bit_count() <= 3 for a, b in found)
 
 
-def jaccard(a, b):
-    s = lambda t: {t.lower().ljust(L.SHINGLE, "\0")[k : k + L.SHINGLE] for k in range(max(1, len(t) - L.SHINGLE + 1))}
+def jaccard(a, b, width=L.SHINGLE):
+    s = lambda t: {t.lower().ljust(width, "\0")[k : k + width] for k in range(max(1, len(t) - width + 1))}
     return len(s(a) & s(b)) / len(s(a) | s(b))
 
 
+def similar(a, b):
+    """By any kind of shingles that suits both lines."""
+    return any(least <= min(len(a), len(b)) and max(len(a), len(b)) <= most and jaccard(a, b, width) >= L.SIMILAR for width, least, most in L.KINDS)
+
+
 def corpus(seed=3):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9)))
@@ -106,20 +111,72 @@ def corpus(seed=3):
     return own + out
 
 
-def test_bucket_links_equal_all_pairs():
+def lines_table(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+
+
+def test_bucket_links_equal_all_pairs(spark):
+    from pyspark.sql import functions as F
+
     texts = corpus()
-    want = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(texts[a], texts[b]) >= 0.8]
-    found = L.bucket_links(list(range(len(texts))), texts)
-    assert joined(len(texts), found) == joined(len(texts), want)
-
-
-def test_band_keys_recall():
-    texts = [t for seed in range(4, 10) for t in corpus(seed)]
-    keys = L.band_keys(texts)
-    want = [(a, b) for a, b in combinations(range(len(texts)), 2) if texts[a] != texts[b] and jaccard(texts[a], texts[b]) >= 0.8]
-    hit = sum(bool((keys[a] == keys[b]).any()) for a, b in want)
-    assert len(want) > 50 and hit >= 0.98 * len(want)
-    assert (L.band_keys(texts[:7]) == keys[:7]).all()
+    all_ = lines_table(spark, texts).agg(F.array_sort(F.collect_list(F.struct("id", "line"))).alias("m"))
+    for width in (2, 3, 5, 8):
+        want = [(a, b) for a, b in combinations(range(len(texts)), 2) if jaccard(texts[a], texts[b], width) >= 0.8]
+        p = all_.select(L.bucket_links(spark, F.col("m.id"), F.col("m.line"), F.lit(width)).alias("p")).first()["p"]
+        assert joined(len(texts), list(zip(p[::2], p[1::2]))) == joined(len(texts), want)
+
+
+def test_likeness_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    texts = corpus(11)
+    pairs = [(a, b, w) for a, b in combinations(texts[:40] + texts[-40:], 2) for w in (3, 8)]
+    df = spark.createDataFrame(pairs, "a string, b string, w int")
+    got = {(r["a"], r["b"], r["w"]): r["j"] for r in df.withColumn("j", L.likeness(spark, F.col("a"), F.col("b"), F.col("w"), 0.6)).collect()}
+    for (a, b, w), j in got.items():
+        want = jaccard(a, b, w)
+        assert j == (pytest.approx(want) if want >= 0.6 else -1.0)
+
+
+def test_band_keys_recall(spark):
+    texts = sorted({t for seed in (4, 5) for t in corpus(seed)})
+    keys = [set(r["k"]) for r in lines_table(spark, texts).select("id", L.band_keys(spark, L.F.col("line")).alias("k")).orderBy("id").collect()]
+    want = [(a, b) for a, b in combinations(range(len(texts)), 2) if similar(texts[a], texts[b])]
+    hit = sum(bool(keys[a] & keys[b]) for a, b in want)
+    assert len(want) > 30 and hit >= 0.98 * len(want)
+
+
+@pytest.mark.parametrize("chunk, chunk_bytes", [(L.CHUNK, L.CHUNK_BYTES), (3, L.CHUNK_BYTES), (L.CHUNK, 150)])
+def test_links_of_small_and_large_buckets(spark, chunk, chunk_bytes):
+    rng = random.Random(6)
+    base = "a line that very many documents share with small edits of their own, number "
+    texts = sorted({*corpus(12), *(base + str(rng.randrange(10**6)) for _ in range(60)), *(base[k % 70 :] + base[: k % 70] for k in range(70))})
+    found = [(r["a"], r["b"]) for r in L._links(lines_table(spark, texts), chunk, chunk_bytes).collect()]
+    assert all(similar(texts[a], texts[b]) for a, b in found)
+    want = [(a, b) for a, b in combinations(range(len(texts)), 2) if similar(texts[a], texts[b])]
+    got, all_ = joined(len(texts), found), joined(len(texts), want)
+    assert sum(x == y for x, y in zip(got, all_)) >= 0.99 * len(texts)
+
+
+def test_removed_lines_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 3000")
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    first, places = {}, []
+    for doc, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                places.append((doc, k, line))
+                first.setdefault(line, len(first))
+    texts = list(first)
+    root = joined(len(texts), [(a, b) for a, b in combinations(range(len(texts)), 2) if min(len(texts[a]), len(texts[b])) > 0.5 * max(len(texts[a]), len(texts[b])) and similar(texts[a], texts[b])])
+    seen, want = set(), set()
+    for doc, k, line in places:
+        c = root[first[line]]
+        if c in seen:
+            want.add((doc, k))
+        seen.add(c)
+    got = {(r["doc_id"], k) for r in L.removed_lines(docs).collect() for k in r["removed_lines"]}
+    assert len(want) > 20 and len(got ^ want) <= 0.02 * len(want)
 
 
 def test_line_dedup(spark):

@@ -1,176 +1,61 @@
 """Line dedup: of each group of equal or similar lines in a corpus one stays.
 
 Equal lines meet by digest with a partial aggregate before the shuffle.  Distinct lines get one-permutation MinHash
-signatures of their character shingles (empty bins take values of bins drawn by hash) for each length of shingles that suits the line, cut into bands; lines of a
-band bucket are compared by their exact Jaccard similarity, and the links join by distributed union-find.  In a
-bucket all lines are compared to the first; where some aren't similar to it, the next of them leads a group, and
-by the triangle inequality of the Jaccard distance only lines near an earlier group's first can be similar to its
-other lines: those are compared.  Buckets above a size are dealt out by pairs of bounded chunks, so no task grows with a hot bucket.
+signatures of their character shingles (empty bins take values of bins drawn by hash) for each length of shingles that
+suits the line, cut into bands.  Band keys are counted with a partial aggregate; only lines of keys that several share
+are looked at again.  Lines of a bucket are compared by their exact Jaccard similarity, and the links join by
+distributed union-find.  In a bucket all lines are compared to the first; where some aren't similar to it, the next of
+them leads a group, and by the triangle inequality of the Jaccard distance only lines near an earlier group's first can
+be similar to its other lines: those are compared.  In a bucket above a size each line is compared to the first where
+it lies, and only the lines that aren't similar to it meet the bucket's lines, chunk by chunk of bounded bytes.
+Shingles and comparisons run in the executors' JVM (``java/Lines.java``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text, write_table
+from tidemark.llm import jvm
+from tidemark.llm.common import sides_by_size, whole_text, write_table
 from tidemark.llm.components import components
-from tidemark.plans.runtime import map_arrow
 
 #: Characters of a shingle; bands and rows of a band (a pair at similarity 0.8 is missed once in 1,600); the similarity that links.
 SHINGLE, BANDS, ROWS, SIMILAR = 3, 14, 4, 0.8
 #: (characters of a shingle, least and most characters of a line) by which lines are compared, similar by one being enough: a changed
 #: character spoils as many shingles as they have characters, too many of a short line's; long lines of the same words share short ones.
-KINDS = ((2, 18, 40), (SHINGLE, 0, 100), (5, 80, 200), (8, 0, 1 << 31))
-BINS = BANDS * ROWS
-#: Lines of a chunk of a bucket; ids that may be broadcast (8 bytes each).
-CHUNK, SENT_IDS = 20_000, 4_000_000
-
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ h >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ h >> np.uint64(33)
-
-
-def shingle_hashes(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all shingles, the line each belongs to); lower case; a shorter line is one shingle."""
-    padded = [s.lower().ljust(width, "\0") for s in lines]
-    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    c += np.uint64(1)
-    h, last = c, len(c) - width + 1
-    for k in range(1, width):
-        h = h[:last] * _MULTIPLIER + c[k : k + last]
-    n = sizes - width + 1
-    starts = np.cumsum(sizes) - sizes
-    of = np.repeat(np.arange(len(lines)), n)
-    places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
-    return _mixed(h[places]), of
-
-
-def _donors() -> np.ndarray:
-    """donors[t, b]: the bin that an empty bin b asks in try t."""
-    t, b = np.meshgrid(np.arange(1, 65, dtype=np.uint64), np.arange(BINS, dtype=np.uint64), indexing="ij")
-    return (_mixed(t * _MULTIPLIER + b) % np.uint64(BINS)).astype(np.int64)
-
-
-_DONORS = _donors()
-
-
-def band_keys(lines: list[str], width: int = SHINGLE) -> np.ndarray:
-    """(lines x BANDS) 64-bit keys; similar lines agree on one with high probability."""
-    h, of = shingle_hashes(lines, width)
-    none = np.uint32(0xFFFFFFFF)
-    flat = np.full(len(lines) * BINS, none, np.uint32)
-    bins = ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(flat, of * BINS + bins, np.minimum(h & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE)).astype(np.uint32))
-    sig = flat.reshape(-1, BINS)
-    made = sig.copy()
-    line, b = np.nonzero(sig == none)
-    for t in range(len(_DONORS)):
-        if not len(line):
-            break
-        got = sig[line, _DONORS[t, b]]
-        ok = got != none
-        made[line[ok], b[ok]] = got[ok]
-        line, b = line[~ok], b[~ok]
-    for k, bin_ in zip(line, b):  # as good as never: the next bin that has a value
-        made[k, bin_] = next(v for v in np.roll(sig[k], -bin_) if v != none)
-    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(lines), 0) + np.uint64(width << 32)
-    for r in range(ROWS):
-        keys = _mixed(keys * _MULTIPLIER + made[:, r::ROWS])
-    return keys.view(np.int64)
-
-
-#: Bits of a shingle's hash that its line's set keeps, below the number of the line or pair in one integer: one plain sort makes all sets.
-SET_BITS = 40
-
-
-def shingle_sets(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the distinct shingles of each line, ascending, line after line; where each line's start)."""
-    h, of = shingle_hashes(lines, width)
-    key = np.sort((of.astype(np.uint64) << np.uint64(SET_BITS)) | h >> np.uint64(64 - SET_BITS))
-    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
-    return key & np.uint64((1 << SET_BITS) - 1), np.searchsorted(key >> np.uint64(SET_BITS), np.arange(len(lines) + 1, dtype=np.uint64))
-
-
-def pair_likeness(sets: np.ndarray, cuts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The Jaccard similarity of lines a[k] and b[k], for all k at once."""
-    size = np.diff(cuts)
-    n = np.concatenate([size[a], size[b]])
-    pair = np.repeat(np.concatenate([np.arange(len(a)), np.arange(len(b))]), n).astype(np.uint64)
-    starts = np.repeat(np.concatenate([cuts[a], cuts[b]]) - (np.cumsum(n) - n), n)
-    key = np.sort(pair << np.uint64(SET_BITS) | sets[starts + np.arange(len(starts))])
-    both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(SET_BITS)).astype(np.int64), minlength=len(a)) if len(key) else np.zeros(len(a), np.int64)
-    return both / (size[a] + size[b] - both)
-
-
-def bucket_links(ids: list[int], lines: list[str], starts: list[int] | None = None, similar: float = SIMILAR, width: int = SHINGLE) -> list[tuple[int, int]]:
-    """Links that connect all lines which similar pairs of a bucket connect, fewer than lines; bucket k is lines[starts[k]:starts[k + 1]].
-
-    All lines are compared to the first of their bucket at once; where some aren't similar to it the bucket is taken apart.
-    """
-    starts = np.array([*(starts or [0]), len(lines)])
-    sets, cuts = shingle_sets(lines, width)
-    first = np.repeat(starts[:-1], np.diff(starts))
-    rest = np.flatnonzero(first != np.arange(len(lines)))
-    j = np.ones(len(lines))
-    j[rest] = pair_likeness(sets, cuts, first[rest], rest)
-    links = []
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if b - a < 3 or j[a:b].min() >= similar:
-            links += [(ids[a], ids[k]) for k in range(a + 1, b) if j[k] >= similar]
-        else:
-            links += [(ids[x], ids[y]) for x, y in _apart(sets, cuts, range(a, b), similar)]
-    return links
-
-
-def _apart(sets: np.ndarray, cuts: np.ndarray, members: range, similar: float) -> list[tuple[int, int]]:
-    """Links among the lines of one bucket, group by group."""
-    near = 2 * similar - 1  # a line similar to a member is at least this similar to the group's first
-    size = np.diff(cuts)
-    open_, links, top = np.array(members), [], {k: k for k in members}
-
-    def root(k: int) -> int:
-        while top[k] != k:
-            top[k] = top[top[k]]
-            k = top[k]
-        return k
-
-    def join(a: int, b: int) -> None:
-        x, y = root(a), root(b)
-        if x != y:
-            top[max(x, y)] = min(x, y)
-            links.append((a, b))
-
-    groups: list[tuple[int, list[int]]] = []
-    rings: list[tuple[int, int]] = []  # (line, group): near the group's first but not similar to it
-    while len(open_):
-        # The first line that no group has takes all that are similar to it; the rest are asked again by the next first.
-        leader, others = int(open_[0]), open_[1:]
-        fit = np.minimum(size[others], size[leader]) >= near * np.maximum(size[others], size[leader])
-        j = np.zeros(len(others))
-        if fit.any():
-            j[fit] = pair_likeness(sets, cuts, np.full(fit.sum(), leader), others[fit])
-        mine = others[j >= similar].tolist()
-        for k in mine:
-            join(leader, k)
-        rings += [(k, len(groups)) for k in others[(j >= near) & (j < similar)].tolist()]
-        groups.append((leader, mine))
-        open_ = others[j < similar]
-    for k, g in rings:  # a member of the group may be similar to a line that its first isn't
-        todo = [m for m in groups[g][1] if root(m) != root(k)]
-        if todo:
-            j = pair_likeness(sets, cuts, np.full(len(todo), k), np.array(todo))
-            for m in np.array(todo)[j >= similar].tolist():
-                join(m, k)
-    return links
+KINDS = ((2, 18, 40), (SHINGLE, 0, 100), (5, 80, 200), (8, 0, (1 << 31) - 1))
+#: Lines and bytes of a bucket that are compared in one call, and of a chunk of a larger one.
+CHUNK, CHUNK_BYTES = 20_000, 4 << 20
+#: Ids that may be sent to every task (8 bytes each).
+SENT_IDS = 4_000_000
+#: Bytes of first lines of large buckets that may be sent to every task.
+SENT_BYTES = 32 << 20
+
+
+def band_keys(spark: SparkSession, line: Column) -> Column:
+    """64-bit keys of a line, BANDS for each kind of shingles that suits it; similar lines agree on one with high probability."""
+    jvm.register(spark, "tidemark_band_keys", "tidemark.Lines$Bands", "array<bigint>", ";".join(f"{w},{a},{b}" for w, a, b in KINDS), f"{BANDS},{ROWS}")
+    return F.call_udf("tidemark_band_keys", line)
+
+
+def likeness(spark: SparkSession, a: Column, b: Column, width: Column, least: float) -> Column:
+    """The Jaccard similarity of two lines' shingles of *width* characters, or -1 where it is below *least*."""
+    name = f"tidemark_likeness_{round(least * 1000)}"
+    jvm.register(spark, name, "tidemark.Lines$Likeness", "double", str(least))
+    return F.call_udf(name, a, b, width)
+
+
+def bucket_links(spark: SparkSession, ids: Column, lines: Column, width: Column, similar: float = SIMILAR) -> Column:
+    """Pairs, one id after the other, that connect all lines which similar pairs of a bucket connect; fewer pairs than lines."""
+    name = f"tidemark_line_links_{round(similar * 1000)}"
+    jvm.register(spark, name, "tidemark.Lines$Links", "array<bigint>", str(similar))
+    return F.call_udf(name, ids, lines, width)
+
+
+def _cross_links(spark: SparkSession, *columns: Column) -> Column:
+    jvm.register(spark, "tidemark_cross_links", "tidemark.Lines$Cross", "array<bigint>", str(SIMILAR))
+    return F.call_udf("tidemark_cross_links", *columns)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -203,53 +88,51 @@ def removals(docs: DataFrame) -> DataFrame:
     return at.where(F.col("all_go").isNotNull() | ~is_first).select("doc_id", "h", "line_no").distinct()
 
 
-def _links(distinct: DataFrame) -> DataFrame:
-    def band(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                lines, ids = part.column(1).to_pylist(), part.column(0).to_numpy()
-                sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-                for width, least, most in KINDS:
-                    of = np.flatnonzero((sizes >= least) & (sizes <= most))
-                    if len(of):
-                        keys = band_keys([lines[k] for k in of], width)
-                        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids[of], BANDS)), pa.array(np.full(keys.size, width, np.int32))], ["key", "id", "width"])
-
-    def link(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        bucket, kind, ids, lines, starts = None, SHINGLE, [], [], []
-
-        def out():
-            found = bucket_links(ids, lines, starts, width=kind) if ids else []
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            for key, i, j, width, id_, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, i, j, width) != bucket:
-                    if len(ids) > 1000 or width != kind:
-                        yield out()
-                        ids, lines, starts = [], [], []
-                    bucket, kind = (key, i, j, width), width
-                    starts.append(len(ids))
-                ids.append(id_)
-                lines.append(line)
-        yield out()
-
-    bucket = Window.partitionBy("key")
-    keyed = map_arrow(distinct, band, "key long, id long, width int").withColumns({"n": F.count("*").over(bucket), "sum": F.sum(F.xxhash64("id").cast("decimal(20,0)")).over(bucket)})
-    # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes add up alike.
-    shared = write_table(keyed.where("n > 1").select(F.xxhash64("n", "sum", "width").alias("key"), "id", "n", "width").distinct(), "lines-buckets")
-    wanted = shared.select("id").distinct()
-    n = wanted.count()
-    texts = distinct.join(F.broadcast(wanted) if n <= SENT_IDS else wanted, "id", "left_semi")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    dealt = shared.withColumn("i", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = dealt.select("key", F.least("i", "other").alias("i"), F.greatest("i", "other").alias("j"), "width", "id").join(texts, "id").select("key", "i", "j", "width", "id", "line")
-    return map_arrow(dealt.repartition("key", "i", "j").sortWithinPartitions("width", "key", "i", "j", "id"), link, "a long, b long")
+def _links(distinct: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(a, b): ids of *distinct* (id, line) whose components are those of all similar pairs that share a band key."""
+    spark = distinct.sparkSession
+    keyed = distinct.select("id", F.octet_length("line").alias("size"), F.explode(band_keys(spark, F.col("line"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum("size").alias("bytes"), F.min("id").alias("first")).where("n > 1")
+    # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes agree.
+    shared = write_table(shared.withColumn("kind", F.col("key").bitwiseAND(F.lit(3)).cast("int")).withColumn("bucket", F.xxhash64("n", "x", "kind")), "lines-keys")
+    members = keyed.select("id", "key").join(sides_by_size(shared.select("key", "bucket"), shared.count(), SENT_IDS // 2), "key").select("bucket", "id").distinct()
+    widths = F.element_at(F.array(*[F.lit(w) for w, _, _ in KINDS]), F.col("kind") + 1).alias("width")
+    buckets = write_table(shared.groupBy("bucket").agg(F.min("kind").alias("kind"), F.min("n").alias("n"), F.min("bytes").alias("bytes"), F.min("first").alias("first")).select("bucket", widths, "n", "bytes", "first"), "lines-buckets")
+    members = write_table(members, "lines-members")
+    wanted = members.select("id").distinct()
+    texts = write_table(distinct.join(sides_by_size(wanted, wanted.count(), SENT_IDS), "id", "left_semi"), "lines-texts")
+    large = (F.col("n") > chunk) | (F.col("bytes") > chunk_bytes)
+    small = members.join(buckets.where(~large).select("bucket", "width"), "bucket").join(texts, "id")
+    small = small.groupBy("bucket", "width").agg(F.array_sort(F.collect_list(F.struct("id", "line"))).alias("m"))
+    found = _pairs(small.select(bucket_links(spark, F.col("m.id"), F.col("m.line"), F.col("width")).alias("p")))
+    if buckets.where(large).limit(1).count():
+        found = found.unionAll(_large_links(members, buckets.where(large), texts, chunk, chunk_bytes))
+    return found
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    at = found.where(F.size("p") > 0).select("p", F.explode(F.sequence(F.lit(1), F.size("p") - 1, F.lit(2))).alias("k"))
+    return at.select(F.element_at("p", F.col("k")).alias("a"), F.element_at("p", F.col("k") + 1).alias("b"))
+
+
+def _large_links(members: DataFrame, buckets: DataFrame, texts: DataFrame, chunk: int, chunk_bytes: int) -> DataFrame:
+    """Links of large buckets: all lines to the first where they lie, then the lines that aren't similar to it to all, by chunks."""
+    spark = members.sparkSession
+    heads = write_table(buckets.join(texts.select(F.col("id").alias("first"), F.col("line").alias("head")), "first"), "lines-heads")
+    rows = members.join(sides_by_size(heads, heads.agg(F.sum(F.octet_length("head") + 64)).first()[0], SENT_BYTES), "bucket").join(texts, "id")
+    rows = write_table(rows.select("bucket", "width", "n", "bytes", "first", "id", "line", likeness(spark, F.col("line"), F.col("head"), F.col("width"), 2 * SIMILAR - 1).alias("j")), "lines-large")
+    found = rows.where((F.col("j") >= SIMILAR) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    parts = lambda n, size: F.ceil(F.greatest(F.col(n) / chunk, F.col(size) / chunk_bytes)).cast("int")
+    others = rows.where(F.col("j") < SIMILAR)
+    per = others.groupBy("bucket").agg(F.count("*").alias("n_others"), F.sum(F.octet_length("line")).alias("size_others"))
+    per = write_table(per.join(buckets.select("bucket", "n", "bytes"), "bucket").select("bucket", parts("n", "bytes").alias("c"), parts("n_others", "size_others").alias("o")), "lines-others")
+    per = sides_by_size(per, per.count(), SENT_IDS // 4)
+    place = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    asked = rows.join(per, "bucket").select("bucket", "width", place("c").alias("i"), every("o").alias("k"), F.lit(False).alias("asks"), "id", "line", "j")
+    asking = others.join(per, "bucket").select("bucket", "width", every("c").alias("i"), place("o").alias("k"), F.lit(True).alias("asks"), "id", "line", "j")
+    met = asked.unionAll(asking).groupBy("bucket", "width", "i", "k").agg(F.collect_list(F.struct("id", "line", "j", "asks")).alias("m"))
+    return found.unionAll(_pairs(met.select(_cross_links(spark, *[F.col(f"m.{c}") for c in ("id", "line", "j", "asks")], F.col("width")).alias("p"))))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
