@@ -33,9 +33,12 @@ SENT_IDS = 4_000_000
 SENT_BYTES = 32 << 20
 
 
+_KINDS = ";".join(f"{w},{a},{b}" for w, a, b in KINDS)
+
+
 def band_keys(spark: SparkSession, line: Column) -> Column:
     """64-bit keys of a line, BANDS for each kind of shingles that suits it; similar lines agree on one with high probability."""
-    jvm.register(spark, "tidemark_band_keys", "tidemark.Lines$Bands", "array<bigint>", ";".join(f"{w},{a},{b}" for w, a, b in KINDS), f"{BANDS},{ROWS}")
+    jvm.register(spark, "tidemark_band_keys", "tidemark.Lines$Bands", "array<bigint>", _KINDS, f"{BANDS},{ROWS}")
     return F.call_udf("tidemark_band_keys", line)
 
 
@@ -46,11 +49,11 @@ def likeness(spark: SparkSession, a: Column, b: Column, width: Column, least: fl
     return F.call_udf(name, a, b, width)
 
 
-def bucket_links(spark: SparkSession, ids: Column, lines: Column, width: Column, similar: float = SIMILAR) -> Column:
-    """Pairs, one id after the other, that connect all lines which similar pairs of a bucket connect; fewer pairs than lines."""
+def bucket_links(spark: SparkSession, ids: Column, lines: Column, kinds: Column, similar: float = SIMILAR) -> Column:
+    """Pairs, one id after the other, that connect all lines which similar pairs of a bucket connect by the kinds (bits); fewer pairs than lines."""
     name = f"tidemark_line_links_{round(similar * 1000)}"
-    jvm.register(spark, name, "tidemark.Lines$Links", "array<bigint>", str(similar))
-    return F.call_udf(name, ids, lines, width)
+    jvm.register(spark, name, "tidemark.Lines$Links", "array<bigint>", str(similar), _KINDS)
+    return F.call_udf(name, ids, lines, kinds)
 
 
 def _cross_links(spark: SparkSession, *columns: Column) -> Column:
@@ -64,26 +67,27 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return base.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
 
 
-def _digest():
-    return F.unhex(F.md5("line")).alias("d")
+def _digest() -> list[Column]:
+    """128 bits of a line: two hashes of different seeds."""
+    return [F.xxhash64("line").alias("d"), F.xxhash64(F.lit(1), "line").alias("e")]
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, h, line_no) of the lines that go: all but the first, by doc_id and line, of each component of equal or similar lines."""
     lines = occurrences(docs)
     first = F.min(F.struct("doc_id", "h", "line_no", "line")).alias("f")
-    distinct = lines.groupBy(_digest()).agg(first, F.count("*").alias("n")).select("d", "f.doc_id", "f.h", "f.line_no", "f.line", "n", F.monotonically_increasing_id().alias("id"))
+    distinct = lines.groupBy(*_digest()).agg(first, F.count("*").alias("n")).select("d", "e", "f.doc_id", "f.h", "f.line_no", "f.line", "n", F.monotonically_increasing_id().alias("id"))
     distinct = write_table(distinct, "lines-distinct")
-    reach = components(_links(distinct.select("id", "line")))
-    narrow = distinct.select("d", "doc_id", "h", "line_no", "n", "id")
+    reach = write_table(components(_links(distinct.select("id", "line"))).select(F.col("node").alias("id"), "root"), "lines-reach")
+    narrow = distinct.select("d", "e", "doc_id", "h", "line_no", "n", "id")
+    linked = reach.count()
     # Kept of each component: the line that comes first.
-    of = narrow.join(reach.select(F.col("node").alias("id"), "root"), "id")
-    kept = of.groupBy("root").agg(F.min(F.struct("doc_id", "h", "line_no", "d"))["d"].alias("keeper"))
-    gone = of.join(kept, "root").where("d <> keeper").select("d", F.lit(True).alias("all_go"))
-    several = narrow.join(gone, "d", "left").where("n > 1 or all_go").select("d", F.col("doc_id").alias("first_doc"), F.col("h").alias("first_h"), F.col("line_no").alias("first_line"), "all_go")
-    several = write_table(several, "lines-several")
-    n = several.count()
-    at = lines.select("doc_id", "h", "line_no", _digest()).join(F.broadcast(several) if n <= SENT_IDS // 4 else several, "d")
+    of = narrow.join(sides_by_size(reach, linked, SENT_IDS // 2), "id")
+    kept = of.groupBy("root").agg(F.min(F.struct("doc_id", "h", "line_no", "id"))["id"].alias("keeper"))
+    gone = write_table(of.select("id", "root").join(kept, "root").where("id <> keeper").select("id", F.lit(True).alias("all_go")), "lines-linked")
+    several = narrow.join(sides_by_size(gone, linked, SENT_IDS // 2), "id", "left").where("n > 1 or all_go")
+    several = write_table(several.select("d", "e", F.col("doc_id").alias("first_doc"), F.col("h").alias("first_h"), F.col("line_no").alias("first_line"), "all_go"), "lines-several")
+    at = lines.select("doc_id", "h", "line_no", *_digest()).join(sides_by_size(several, several.count(), SENT_IDS // 4), ["d", "e"])
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("h") == F.col("first_h")) & (F.col("line_no") == F.col("first_line"))
     return at.where(F.col("all_go").isNotNull() | ~is_first).select("doc_id", "h", "line_no").distinct()
 
@@ -91,22 +95,29 @@ def removals(docs: DataFrame) -> DataFrame:
 def _links(distinct: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(a, b): ids of *distinct* (id, line) whose components are those of all similar pairs that share a band key."""
     spark = distinct.sparkSession
-    keyed = distinct.select("id", F.octet_length("line").alias("size"), F.explode(band_keys(spark, F.col("line"))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum("size").alias("bytes"), F.min("id").alias("first")).where("n > 1")
+    keyed = distinct.select("id", F.explode(band_keys(spark, F.col("line"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.hash("id")).alias("x")).where("n > 1")
     # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes agree.
-    shared = write_table(shared.withColumn("kind", F.col("key").bitwiseAND(F.lit(3)).cast("int")).withColumn("bucket", F.xxhash64("n", "x", "kind")), "lines-keys")
-    members = keyed.select("id", "key").join(sides_by_size(shared.select("key", "bucket"), shared.count(), SENT_IDS // 2), "key").select("bucket", "id").distinct()
-    widths = F.element_at(F.array(*[F.lit(w) for w, _, _ in KINDS]), F.col("kind") + 1).alias("width")
-    buckets = write_table(shared.groupBy("bucket").agg(F.min("kind").alias("kind"), F.min("n").alias("n"), F.min("bytes").alias("bytes"), F.min("first").alias("first")).select("bucket", widths, "n", "bytes", "first"), "lines-buckets")
-    members = write_table(members, "lines-members")
+    kind = F.col("key").bitwiseAND(F.lit(3)).cast("int")
+    shared = write_table(shared.select("key", F.xxhash64("n", "x").alias("bucket"), F.element_at(F.array(*[F.lit(1 << k) for k in range(len(KINDS))]), kind + 1).alias("kind")), "lines-keys")
+    kinds = shared.groupBy("bucket").agg(F.bit_or("kind").alias("kinds"))
+    members = write_table(keyed.join(sides_by_size(shared.select("key", "bucket"), shared.count(), SENT_IDS // 2), "key").select("bucket", "id").distinct(), "lines-members")
     wanted = members.select("id").distinct()
-    texts = write_table(distinct.join(sides_by_size(wanted, wanted.count(), SENT_IDS), "id", "left_semi"), "lines-texts")
+    texts = distinct.join(sides_by_size(wanted, wanted.count(), SENT_IDS), "id", "left_semi")
+    texts = write_table(texts.withColumn("size", F.octet_length("line")), "lines-texts")
+    sizes = members.join(texts.select("id", "size"), "id").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("id").alias("first"))
+    buckets = write_table(sizes.join(kinds, "bucket"), "lines-buckets")
     large = (F.col("n") > chunk) | (F.col("bytes") > chunk_bytes)
-    small = members.join(buckets.where(~large).select("bucket", "width"), "bucket").join(texts, "id")
-    small = small.groupBy("bucket", "width").agg(F.array_sort(F.collect_list(F.struct("id", "line"))).alias("m"))
-    found = _pairs(small.select(bucket_links(spark, F.col("m.id"), F.col("m.line"), F.col("width")).alias("p")))
-    if buckets.where(large).limit(1).count():
-        found = found.unionAll(_large_links(members, buckets.where(large), texts, chunk, chunk_bytes))
+    n_large = buckets.where(large).count()
+    rows = members.join(texts.select("id", "line"), "id")
+    if n_large:
+        rows = rows.join(sides_by_size(buckets.where(large).select("bucket"), n_large, SENT_IDS), "bucket", "left_anti")
+    small = rows.groupBy("bucket").agg(F.collect_list(F.struct("id", "line")).alias("m")).join(kinds, "bucket")
+    found = _pairs(small.select(bucket_links(spark, F.col("m.id"), F.col("m.line"), F.col("kinds")).alias("p")))
+    if n_large:
+        of = [F.when(F.col("kinds").bitwiseAND(F.lit(1 << k)) > 0, F.lit(w)) for k, (w, _, _) in enumerate(KINDS)]
+        by_kind = buckets.where(large).withColumn("width", F.explode(F.array_compact(F.array(*of)))).drop("kinds")
+        found = found.unionAll(_large_links(members, by_kind, texts, chunk, chunk_bytes))
     return found
 
 
@@ -119,18 +130,18 @@ def _large_links(members: DataFrame, buckets: DataFrame, texts: DataFrame, chunk
     """Links of large buckets: all lines to the first where they lie, then the lines that aren't similar to it to all, by chunks."""
     spark = members.sparkSession
     heads = write_table(buckets.join(texts.select(F.col("id").alias("first"), F.col("line").alias("head")), "first"), "lines-heads")
-    rows = members.join(sides_by_size(heads, heads.agg(F.sum(F.octet_length("head") + 64)).first()[0], SENT_BYTES), "bucket").join(texts, "id")
+    rows = members.join(sides_by_size(heads, heads.agg(F.sum(F.octet_length("head") + 64)).first()[0], SENT_BYTES), "bucket").join(texts.select("id", "line"), "id")
     rows = write_table(rows.select("bucket", "width", "n", "bytes", "first", "id", "line", likeness(spark, F.col("line"), F.col("head"), F.col("width"), 2 * SIMILAR - 1).alias("j")), "lines-large")
     found = rows.where((F.col("j") >= SIMILAR) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
     parts = lambda n, size: F.ceil(F.greatest(F.col(n) / chunk, F.col(size) / chunk_bytes)).cast("int")
     others = rows.where(F.col("j") < SIMILAR)
-    per = others.groupBy("bucket").agg(F.count("*").alias("n_others"), F.sum(F.octet_length("line")).alias("size_others"))
-    per = write_table(per.join(buckets.select("bucket", "n", "bytes"), "bucket").select("bucket", parts("n", "bytes").alias("c"), parts("n_others", "size_others").alias("o")), "lines-others")
+    per = others.groupBy("bucket", "width").agg(F.count("*").alias("n_others"), F.sum(F.octet_length("line")).alias("size_others"))
+    per = write_table(per.join(buckets.select("bucket", "width", "n", "bytes"), ["bucket", "width"]).select("bucket", "width", parts("n", "bytes").alias("c"), parts("n_others", "size_others").alias("o")), "lines-others")
     per = sides_by_size(per, per.count(), SENT_IDS // 4)
     place = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    asked = rows.join(per, "bucket").select("bucket", "width", place("c").alias("i"), every("o").alias("k"), F.lit(False).alias("asks"), "id", "line", "j")
-    asking = others.join(per, "bucket").select("bucket", "width", every("c").alias("i"), place("o").alias("k"), F.lit(True).alias("asks"), "id", "line", "j")
+    asked = rows.join(per, ["bucket", "width"]).select("bucket", "width", place("c").alias("i"), every("o").alias("k"), F.lit(False).alias("asks"), "id", "line", "j")
+    asking = others.join(per, ["bucket", "width"]).select("bucket", "width", every("c").alias("i"), place("o").alias("k"), F.lit(True).alias("asks"), "id", "line", "j")
     met = asked.unionAll(asking).groupBy("bucket", "width", "i", "k").agg(F.collect_list(F.struct("id", "line", "j", "asks")).alias("m"))
     return found.unionAll(_pairs(met.select(_cross_links(spark, *[F.col(f"m.{c}") for c in ("id", "line", "j", "asks")], F.col("width")).alias("p"))))
 
