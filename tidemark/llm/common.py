@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,14 +21,33 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+_folders: dict[str, str] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + os.path.join(tempfile.gettempdir(), f"tidemark-{uuid.uuid4().hex}")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """A folder of this application in the one all executors share (``spark.checkpoint.dir``), removed when the driver ends.
+
+    Where that setting is absent a local master gets a temporary folder; on a cluster it must be set.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not folder:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(folder)
+        _folders[app] = f"{folder}/tidemark-{app}"
+        files, at = _file_system(spark, _folders[app])
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+    return _folders[app]
 
 
 def write_table(df: DataFrame, name: str, **options) -> DataFrame:
@@ -37,7 +55,16 @@ def write_table(df: DataFrame, name: str, **options) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    return spark.read.parquet(path)
+    made = spark.read.parquet(path)
+    made.written_at = path
+    return made
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Remove tables of ``write_table`` that nothing will read any more."""
+    for t in tables:
+        files, at = _file_system(t.sparkSession, t.written_at)
+        files.delete(at, True)
 
 
 def sides_by_size(df: DataFrame, n_rows: int, bound: int) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jvm
-from tidemark.llm.common import sides_by_size, whole_text, write_table
+from tidemark.llm.common import drop_tables, sides_by_size, whole_text, write_table
 from tidemark.llm.components import components
 
 #: Characters of a shingle; bands and rows of a band (a pair at similarity 0.8 is missed once in 1,600); the similarity that links.
@@ -78,7 +78,10 @@ def removals(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct("doc_id", "h", "line_no", "line")).alias("f")
     distinct = lines.groupBy(*_digest()).agg(first, F.count("*").alias("n")).select("d", "e", "f.doc_id", "f.h", "f.line_no", "f.line", "n", F.monotonically_increasing_id().alias("id"))
     distinct = write_table(distinct, "lines-distinct")
-    reach = write_table(components(_links(distinct.select("id", "line"))).select(F.col("node").alias("id"), "root"), "lines-reach")
+    tables: list[DataFrame] = []
+    links = write_table(_links(distinct.select("id", "line"), tables=tables), "lines-links")
+    drop_tables(*tables)
+    reach = write_table(components(links).select(F.col("node").alias("id"), "root"), "lines-reach")
     narrow = distinct.select("d", "e", "doc_id", "h", "line_no", "n", "id")
     linked = reach.count()
     # Kept of each component: the line that comes first.
@@ -87,29 +90,35 @@ def removals(docs: DataFrame) -> DataFrame:
     gone = write_table(of.select("id", "root").join(kept, "root").where("id <> keeper").select("id", F.lit(True).alias("all_go")), "lines-linked")
     several = narrow.join(sides_by_size(gone, linked, SENT_IDS // 2), "id", "left").where("n > 1 or all_go")
     several = write_table(several.select("d", "e", F.col("doc_id").alias("first_doc"), F.col("h").alias("first_h"), F.col("line_no").alias("first_line"), "all_go"), "lines-several")
+    drop_tables(distinct, links, reach, gone)
     at = lines.select("doc_id", "h", "line_no", *_digest()).join(sides_by_size(several, several.count(), SENT_IDS // 4), ["d", "e"])
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("h") == F.col("first_h")) & (F.col("line_no") == F.col("first_line"))
     return at.where(F.col("all_go").isNotNull() | ~is_first).select("doc_id", "h", "line_no").distinct()
 
 
-def _links(distinct: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(a, b): ids of *distinct* (id, line) whose components are those of all similar pairs that share a band key."""
+def _links(distinct: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES, tables: list | None = None) -> DataFrame:
+    """(a, b): ids of *distinct* (id, line) whose components are those of all similar pairs that share a band key.
+
+    The tables that the result is read from are added to *tables*.
+    """
     spark = distinct.sparkSession
-    keyed = distinct.select("id", F.explode(band_keys(spark, F.col("line"))).alias("key"))
+    keyed = distinct.select("id", F.octet_length("line").alias("size"), F.explode(band_keys(spark, F.col("line"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.hash("id")).alias("x")).where("n > 1")
     # Buckets of the same lines, which similar lines make in most bands, are one: their members' hashes agree.
     kind = F.col("key").bitwiseAND(F.lit(3)).cast("int")
     shared = write_table(shared.select("key", F.xxhash64("n", "x").alias("bucket"), F.element_at(F.array(*[F.lit(1 << k) for k in range(len(KINDS))]), kind + 1).alias("kind")), "lines-keys")
     kinds = shared.groupBy("bucket").agg(F.bit_or("kind").alias("kinds"))
-    members = write_table(keyed.join(sides_by_size(shared.select("key", "bucket"), shared.count(), SENT_IDS // 2), "key").select("bucket", "id").distinct(), "lines-members")
+    members = write_table(keyed.join(sides_by_size(shared.select("key", "bucket"), shared.count(), SENT_IDS // 2), "key").select("bucket", "id", "size").distinct(), "lines-members")
     wanted = members.select("id").distinct()
-    texts = distinct.join(sides_by_size(wanted, wanted.count(), SENT_IDS), "id", "left_semi")
-    texts = write_table(texts.withColumn("size", F.octet_length("line")), "lines-texts")
-    sizes = members.join(texts.select("id", "size"), "id").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("id").alias("first"))
+    texts = write_table(distinct.join(sides_by_size(wanted, wanted.count(), SENT_IDS), "id", "left_semi"), "lines-texts")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("id").alias("first"))
     buckets = write_table(sizes.join(kinds, "bucket"), "lines-buckets")
+    written, members = members, members.drop("size")
+    tables = [] if tables is None else tables
+    tables += [shared, written, texts, buckets]
     large = (F.col("n") > chunk) | (F.col("bytes") > chunk_bytes)
     n_large = buckets.where(large).count()
-    rows = members.join(texts.select("id", "line"), "id")
+    rows = members.join(texts, "id")
     if n_large:
         rows = rows.join(sides_by_size(buckets.where(large).select("bucket"), n_large, SENT_IDS), "bucket", "left_anti")
     small = rows.groupBy("bucket").agg(F.collect_list(F.struct("id", "line")).alias("m")).join(kinds, "bucket")
@@ -117,7 +126,7 @@ def _links(distinct: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYT
     if n_large:
         of = [F.when(F.col("kinds").bitwiseAND(F.lit(1 << k)) > 0, F.lit(w)) for k, (w, _, _) in enumerate(KINDS)]
         by_kind = buckets.where(large).withColumn("width", F.explode(F.array_compact(F.array(*of)))).drop("kinds")
-        found = found.unionAll(_large_links(members, by_kind, texts, chunk, chunk_bytes))
+        found = found.unionAll(_large_links(members, by_kind, texts, chunk, chunk_bytes, tables))
     return found
 
 
@@ -126,17 +135,18 @@ def _pairs(found: DataFrame) -> DataFrame:
     return at.select(F.element_at("p", F.col("k")).alias("a"), F.element_at("p", F.col("k") + 1).alias("b"))
 
 
-def _large_links(members: DataFrame, buckets: DataFrame, texts: DataFrame, chunk: int, chunk_bytes: int) -> DataFrame:
+def _large_links(members: DataFrame, buckets: DataFrame, texts: DataFrame, chunk: int, chunk_bytes: int, tables: list) -> DataFrame:
     """Links of large buckets: all lines to the first where they lie, then the lines that aren't similar to it to all, by chunks."""
     spark = members.sparkSession
     heads = write_table(buckets.join(texts.select(F.col("id").alias("first"), F.col("line").alias("head")), "first"), "lines-heads")
-    rows = members.join(sides_by_size(heads, heads.agg(F.sum(F.octet_length("head") + 64)).first()[0], SENT_BYTES), "bucket").join(texts.select("id", "line"), "id")
+    rows = members.join(sides_by_size(heads, heads.agg(F.sum(F.octet_length("head") + 64)).first()[0], SENT_BYTES), "bucket").join(texts, "id")
     rows = write_table(rows.select("bucket", "width", "n", "bytes", "first", "id", "line", likeness(spark, F.col("line"), F.col("head"), F.col("width"), 2 * SIMILAR - 1).alias("j")), "lines-large")
     found = rows.where((F.col("j") >= SIMILAR) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
     parts = lambda n, size: F.ceil(F.greatest(F.col(n) / chunk, F.col(size) / chunk_bytes)).cast("int")
     others = rows.where(F.col("j") < SIMILAR)
     per = others.groupBy("bucket", "width").agg(F.count("*").alias("n_others"), F.sum(F.octet_length("line")).alias("size_others"))
     per = write_table(per.join(buckets.select("bucket", "width", "n", "bytes"), ["bucket", "width"]).select("bucket", "width", parts("n", "bytes").alias("c"), parts("n_others", "size_others").alias("o")), "lines-others")
+    tables += [heads, rows, per]
     per = sides_by_size(per, per.count(), SENT_IDS // 4)
     place = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import sides_by_size, whole_text, write_table
+from tidemark.llm.common import drop_tables, sides_by_size, whole_text, write_table
 from tidemark.plans.runtime import map_arrow
 
 #: Bytes of an n-gram, at most 7: with its length it fills a 64-bit integer.
@@ -89,7 +89,7 @@ def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
     counts = {order: write_table(count_grams(texts, order), "kn-counts")}
     for n in range(order - 1, 0, -1):  # in how many distinct places to the left an n-gram continues
         counts[n] = write_table(counts[n + 1].groupBy(_suffix("g", n).alias("g")).agg(F.count("*").alias("c")), "kn-counts")
-    lower, rows = None, []
+    lower, rows, tables = None, [], [*counts.values()]
     for n in range(1, order + 1):
         of = counts[n].groupBy().agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
         n1, n2, n3, n4 = (max(1, x) for x in of)
@@ -104,12 +104,15 @@ def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
         else:
             p = own.withColumn("s", _suffix("g", n - 1)).join(lower.select(F.col("g").alias("s"), F.col("p").alias("q")), "s").select("g", (F.col("own") + F.col("left") * F.col("q")).alias("p"))
         lower = write_table(p, "kn-p")
+        tables.append(lower)
         rows.append(lower.select(F.lit(n).alias("n"), "g", F.log("p").alias("lp"), F.lit(None).cast("double").alias("lb")))
         rows.append(contexts.select(F.lit(n - 1).alias("n"), F.col("h").alias("g"), F.lit(None).cast("double"), F.log("left")))
     made = rows[0]
     for r in rows[1:]:
         made = made.unionAll(r)
-    return write_table(made.groupBy("n", "g").agg(F.max("lp").alias("lp"), F.max("lb").alias("lb")), "kn-model")
+    model = write_table(made.groupBy("n", "g").agg(F.max("lp").alias("lp"), F.max("lb").alias("lb")), "kn-model")
+    drop_tables(*tables)
+    return model
 
 
 class Shard:
