@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.bars import by_security, rows
+from tidemark.operators.bars import by_security, rows, sum_over
 from tidemark.operators.capping import capped
 from tidemark.plans.runtime import ship
 
@@ -19,13 +19,15 @@ def scores(dense: DataFrame) -> DataFrame:
     lag = lambda n: F.lag("close", n).over(by_security())
     over = lambda a, b: a / F.nullif(b, F.lit(0.0))
     t = dense.withColumn("_lr", F.when((F.col("close") > 0) & (lag(1) > 0), F.ln(F.col("close") / lag(1)))).withColumn("_k", F.row_number().over(by_security()))
+    known = F.coalesce("_lr", F.lit(0.0))
+    t = t.withColumns({"_n": sum_over(F.when(F.col("_lr").isNotNull(), 1.0).otherwise(0.0), YEAR), "_s1": sum_over(known, YEAR), "_s2": sum_over(known * known, YEAR)})
     t = t.withColumn("_seen", F.max(F.when(F.col("traded"), F.col("_k"))).over(by_security().rowsBetween(Window.unboundedPreceding, 0)))
     t = t.select(
         "sec", "d", "close", "traded",
         (over(F.col("close"), lag(YEAR)) - 1).alias("r12"), (over(lag(SKIP), lag(YEAR + SKIP)) - 1).alias("r12_skip"), (over(F.col("close"), lag(HALF)) - 1).alias("r6"), (over(F.col("close"), lag(QUARTER)) - 1).alias("r3"),
-        F.when(F.count("_lr").over(rows(YEAR)) == YEAR, F.stddev_samp("_lr").over(rows(YEAR)) * F.sqrt(F.lit(float(YEAR)))).alias("vol"),
+        F.when(F.col("_n") == YEAR, F.sqrt(F.greatest(F.lit(0.0), F.col("_s2") - F.col("_s1") * F.col("_s1") / YEAR) / (YEAR - 1)) * F.sqrt(F.lit(float(YEAR)))).alias("vol"),
         F.avg("turnover").over(rows(QUARTER)).alias("adtv"),
-        over(F.sum(F.when(F.col("frozen") & F.col("traded"), 1.0).otherwise(0.0)).over(rows(HALF)), F.sum(F.when(F.col("traded"), 1.0).otherwise(0.0)).over(rows(HALF))).alias("frozen_rate"),
+        over(sum_over(F.when(F.col("frozen") & F.col("traded"), 1.0).otherwise(0.0), HALF), sum_over(F.when(F.col("traded"), 1.0).otherwise(0.0), HALF)).alias("frozen_rate"),
         (F.col("_k") - (YEAR + SKIP) - F.lag("_seen", YEAR + SKIP).over(by_security())).alias("stale"),
     )
     agree = F.when(F.col("r6").isNotNull() & F.col("r12").isNotNull(), ((F.col("r6") > 0).cast("double") + (F.col("r12") > 0).cast("double")) / 2)

@@ -65,10 +65,10 @@ def bars_ohlcv(spark, sf):
 
 
 @query(f"""SELECT sec, d, round(close, 9) AS close, round(prev_close, 9) AS prev_close, round(return_1d, 9) AS return_1d, gap_days, history,
-  round(median_turnover60, 7) AS median_turnover60, turnover_obs60 FROM {METRICS}""")
+  round(median_turnover60, 9) AS median_turnover60, turnover_obs60 FROM {METRICS}""")
 def base_metrics(spark, sf):
     m = metrics(spark, sf).select("sec", "d", "close", "prev_close", "return_1d", "gap_days", "history", "median_turnover60", "turnover_obs60")
-    return rounded(rounded(m, 9, "close", "prev_close", "return_1d"), 7, "median_turnover60")
+    return rounded(m, 9, "close", "prev_close", "return_1d", "median_turnover60")
 
 
 @query(f"""SELECT sec, d, coalesce(abs(return_1d) > 0.2, false) AS large_return, coalesce(gap_days > 30, false) AS long_gap, d < DATE '{START}' AS is_warmup,
@@ -212,61 +212,84 @@ def all_time_high(spark, sf):
 # Corporate actions.
 
 _U = "upper(subject)"
-_N = "([0-9]+(?:\\.[0-9]+)?)"
 
 
 def _has(words, text="u"):
     return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
 
 
-def _num(pattern, group, text="u"):
-    return f"TRY_CAST(NULLIF(regexp_extract({text}, '{pattern}', {group}), '') AS DOUBLE)"
+def _is_word(words, text):
+    return f"list_has_any(regexp_split_to_array({text}, '[^A-Z0-9]+'), [{', '.join(repr(w) for w in words)}])"
 
 
-def _bonus_sql(pattern):
-    n, o = _num(pattern, 1), _num(pattern, 2)
-    return f"CASE WHEN {n} > 0 AND {o} > 0 THEN {o} / ({o} + {n}) END"
+def _read_sql(rows, text="u"):
+    """The rows with numbers n and gaps g of a text: number k stands between gaps k and k + 1."""
+    return f"(SELECT *, list_transform(regexp_extract_all({text}, '{act.NUMBER}'), lambda x: CAST(x AS DOUBLE)) AS n, regexp_split_to_array({text}, '{act.NUMBER}') AS g FROM {rows})"
 
 
-def _face_sql(*patterns, text="u"):
-    o, n = ("coalesce(" + ", ".join(_num(p, g, text) for p in patterns) + ")" for g in (1, 2))
-    return f"CASE WHEN {o} > 0 AND {n} > 0 THEN {n} / {o} END"
+def _ratio_sql(named, start="1"):
+    k = f"list_filter(range({start}, len(n)), lambda k: {named} AND trim(g[k + 1]) = ':')[1]"
+    return f"CASE WHEN n[{k}] > 0 AND n[{k} + 1] > 0 THEN n[{k} + 1] / (n[{k} + 1] + n[{k}]) END"
 
 
-V1 = f"""(SELECT *, CASE WHEN kind IN ('BUYBACK', 'DIVIDEND') THEN 1.0 WHEN kind = 'BONUS' THEN bonus WHEN kind = 'SPLIT' AND face < 1 THEN face END AS factor FROM (SELECT *, {_bonus_sql(act.BONUS_V1)} AS bonus, {_face_sql(act.FROM_TO)} AS face,
+def _bare_sql(gap):
+    return f"rtrim(CASE WHEN right(rtrim({gap}, ' .'), 2) IN ('RS', 'RE') THEN left(rtrim({gap}, ' .'), -2) ELSE rtrim({gap}, ' .') END, ' .')"
+
+
+def _face_sql(*rules):
+    found = []
+    for rule in rules:
+        if rule == "words":
+            k = "list_filter(range(1, len(n) + 1), lambda k: contains(g[k], 'FROM'))[1]"
+            found.append((f"n[{k}]", f"n[list_filter(range({k} + 1, len(n) + 1), lambda j: contains(g[j], 'TO'))[1]]"))
+        else:
+            holds = f"right({_bare_sql('g[k + 1]')}, 2) = 'TO'"
+            if rule == "near":
+                holds = f"({holds} OR right({_bare_sql('g[k + 1]')}, 3) = 'TOR') AND length({_bare_sql("regexp_replace(ltrim(g[k + 1]), '^/-', '')")}) <= {act.REACH + 2}"
+            else:
+                holds = f"{holds} AND rtrim(g[k], ' .') <> {_bare_sql('g[k]')}"
+            k = f"list_filter(range(1, len(n)), lambda k: {holds})[1]"
+            found.append((f"n[{k}]", f"n[{k} + 1]"))
+    o, w = "coalesce(" + ", ".join(f"CASE WHEN {w} IS NOT NULL THEN {o} END" for o, w in found) + ")", "coalesce(" + ", ".join(w for _, w in found) + ")"
+    return f"CASE WHEN {o} > 0 AND {w} > 0 THEN {w} / {o} END"
+
+
+_BONUS_WORD = _is_word(("BON", "BONUS"), "(CASE WHEN k > 1 THEN '0' ELSE '' END || g[k] || '0')")
+V1 = f"""(SELECT *, CASE WHEN kind IN ('BUYBACK', 'DIVIDEND') THEN 1.0 WHEN kind = 'BONUS' THEN bonus WHEN kind = 'SPLIT' AND face < 1 THEN face END AS factor FROM (SELECT *, {_ratio_sql("contains(g[k], 'BONUS')")} AS bonus, {_face_sql("words")} AS face,
   CASE WHEN {_has(('DEMERGER', 'DE-MERGER'))} THEN 'DEMERGER' WHEN {_has(('MERGER', 'AMALGAM'))} THEN 'MERGER' WHEN contains(u, 'RIGHT') THEN 'RIGHTS' WHEN {_has(('BUY BACK', 'BUYBACK'))} THEN 'BUYBACK'
-    WHEN {_has(('DIVIDEND', 'DISTRIBUTION'))} THEN 'DIVIDEND' WHEN contains(u, 'BONUS') THEN 'BONUS' WHEN {_has(('SPLIT', 'SUB-DIVISION', 'SUB DIVISION'))} THEN 'SPLIT' ELSE 'OTHER' END AS kind FROM (SELECT *, {_U} AS u FROM {A})))"""
+    WHEN {_has(('DIVIDEND', 'DISTRIBUTION'))} THEN 'DIVIDEND' WHEN contains(u, 'BONUS') THEN 'BONUS' WHEN {_has(('SPLIT', 'SUB-DIVISION', 'SUB DIVISION'))} THEN 'SPLIT' ELSE 'OTHER' END AS kind FROM {_read_sql(f'(SELECT *, {_U} AS u FROM {A})')}))"""
 V3 = f"""(SELECT *, CASE WHEN blocked OR odd OR (has_bonus AND bonus IS NULL) OR (faced AND part IS NULL) THEN NULL WHEN has_bonus OR faced THEN CASE WHEN has_bonus THEN bonus ELSE 1.0 END * CASE WHEN faced THEN part ELSE 1.0 END END AS factor3 FROM (
   SELECT *, CASE WHEN shrinks THEN CASE WHEN face3 > 1 THEN face3 END WHEN splits THEN CASE WHEN face3 < 1 THEN face3 END END AS part, shrinks OR splits AS faced, has_bonus AND {_has(act.NON_EQUITY)} AS odd FROM (
-  SELECT *, regexp_matches(u, '\\bBON(?:US)?\\b') AS has_bonus, contains(u, 'CONSOLIDAT') AS shrinks, {_has(act.SPLIT_WORDS)} AS splits, {_has(act.BLOCKERS)} AS blocked, {_bonus_sql(act.BONUS_V3)} AS bonus3, {_face_sql(act.FROM_TO, act.RUPEES_TO)} AS face3 FROM {V1})) )"""
+  SELECT *, {_is_word(("BON", "BONUS"), "u")} AS has_bonus, contains(u, 'CONSOLIDAT') AS shrinks, {_has(act.SPLIT_WORDS)} AS splits, {_has(act.BLOCKERS)} AS blocked, {_ratio_sql(_BONUS_WORD)} AS bonus3, {_face_sql("words", "marks")} AS face3 FROM {V1})) )"""
 V3 = V3.replace("(has_bonus AND bonus IS NULL)", "(has_bonus AND bonus3 IS NULL)").replace("CASE WHEN has_bonus THEN bonus ELSE", "CASE WHEN has_bonus THEN bonus3 ELSE")
 EVENT_FACTOR = f"""(SELECT event_id, sec, ex, subject, CASE WHEN factor3 IS NULL AND NOT blocked AND NOT odd AND NOT (has_bonus AND bonus3 IS NULL) AND NOT (faced AND part IS NULL) AND NOT has_bonus AND NOT faced AND kind IN ('DIVIDEND', 'BUYBACK') THEN 1.0 ELSE factor3 END AS price_factor FROM {V3})"""
 
 
 def events(spark, sf):
-    e = t.actions(spark, sf)
-    # Each distinct subject is read once.
-    read = e.select("subject").distinct().withColumns(act.event_columns(F.col("subject")))
-    return e.join(read, "subject")
+    return act.events(t.actions(spark, sf))
 
 
 @query(f"SELECT event_id, subject, kind AS action_type, round(factor, 9) AS price_factor, round(1 / factor, 9) AS volume_factor, CASE WHEN kind IN ('BUYBACK', 'DIVIDEND') THEN 'NO_ADJUST' WHEN factor IS NOT NULL THEN 'PARSED' ELSE 'REVIEW' END AS parse_status FROM {V1}")
 def ca_parse_v1(spark, sf):
-    c = t.actions(spark, sf).withColumns(act.classify_v1(F.col("subject")))
+    c = act.classify_v1(t.actions(spark, sf))
     return rounded(c.select("event_id", "subject", "action_type", "price_factor", "volume_factor", "parse_status"), 9, "price_factor", "volume_factor")
 
 
-V2 = f"""(SELECT *, coalesce(b2, 1.0) * coalesce(f2, 1.0) AS product, b2 IS NOT NULL OR f2 IS NOT NULL AS found FROM (SELECT *, CASE WHEN NOT excluded THEN {_bonus_sql(act.BONUS_V2)} END AS b2, CASE WHEN fv <> 1 THEN fv END AS f2 FROM (
-  SELECT *, {_has(act.NON_EQUITY_V2)} AS excluded, {_face_sql(act.FACE_V2, text="tail")} AS fv FROM (SELECT *, regexp_extract(u, '{act.FACE_TAIL}', 0) AS tail FROM (SELECT *, trim(regexp_replace({_U}, '\\s+', ' ', 'g')) AS u FROM {A})))))"""
-KIND2 = f"""CASE WHEN {_has(('DEMERG', 'DE-MERG'))} THEN 'DEMERGER' WHEN contains(u, 'AMALGAM') OR regexp_matches(u, '\\bMERGER\\b') THEN 'MERGER_OR_AMALGAMATION' WHEN regexp_matches(u, '\\bRIGHTS?\\b') THEN 'RIGHTS'
+_BON = "(contains(g[s], 'BONUS') OR len(list_filter(regexp_split_to_array(g[s] || '0', '[^A-Z0-9]+'), lambda w: ends_with(w, 'BON'))) > 0)"
+_TAIL = "coalesce(substr(u, list_min(list_filter([" + ", ".join(f"instr(u, '{w}')" for w in act.FACE_WORDS_V2) + "], lambda x: x > 0))), '')"
+_READ2 = _read_sql(f"(SELECT *, trim(regexp_replace({_U}, '\\s+', ' ', 'g')) AS u FROM {A})")
+_TAILS = f"(SELECT * EXCLUDE (n, g), {_TAIL} AS tail, {_has(act.NON_EQUITY_V2)} AS excluded, {_ratio_sql('true', f'list_filter(range(1, len(n)), lambda s: {_BON})[1]')} AS ratio FROM {_READ2})"
+V2 = f"""(SELECT *, coalesce(b2, 1.0) * coalesce(f2, 1.0) AS product, b2 IS NOT NULL OR f2 IS NOT NULL AS found FROM (SELECT *, CASE WHEN NOT excluded THEN ratio END AS b2, CASE WHEN fv <> 1 THEN fv END AS f2 FROM (
+  SELECT *, {_face_sql("near")} AS fv FROM {_read_sql(_TAILS, "tail")})))"""
+KIND2 = f"""CASE WHEN {_has(('DEMERG', 'DE-MERG'))} THEN 'DEMERGER' WHEN contains(u, 'AMALGAM') OR {_is_word(("MERGER",), "u")} THEN 'MERGER_OR_AMALGAMATION' WHEN {_is_word(("RIGHT", "RIGHTS"), "u")} THEN 'RIGHTS'
   WHEN found AND product < 100 THEN concat_ws('_AND_', CASE WHEN b2 IS NOT NULL THEN 'BONUS' END, CASE WHEN f2 < 1 THEN 'SPLIT' WHEN f2 > 1 THEN 'CONSOLIDATION' END) WHEN found THEN 'MECHANICAL_UNPARSED'
-  WHEN {_has(act.MECHANICAL_V2)} AND NOT excluded THEN 'MECHANICAL_UNPARSED' WHEN contains(u, 'DIVIDEND') OR regexp_matches(u, '\\bDIV\\b') THEN 'DIVIDEND' WHEN {_has(('BUYBACK', 'BUY BACK'))} THEN 'BUYBACK' ELSE 'OTHER_INFORMATIONAL' END"""
+  WHEN {_has(act.MECHANICAL_V2)} AND NOT excluded THEN 'MECHANICAL_UNPARSED' WHEN contains(u, 'DIVIDEND') OR {_is_word(("DIV",), "u")} THEN 'DIVIDEND' WHEN {_has(('BUYBACK', 'BUY BACK'))} THEN 'BUYBACK' ELSE 'OTHER_INFORMATIONAL' END"""
 
 
 @query(f"""SELECT event_id, subject, kind AS action_type, round(CASE WHEN kind IN ('DIVIDEND', 'BUYBACK', 'OTHER_INFORMATIONAL') THEN 1.0 WHEN kind NOT IN ('DEMERGER', 'MERGER_OR_AMALGAMATION', 'RIGHTS', 'MECHANICAL_UNPARSED') THEN product END, 9) AS price_factor,
   CASE WHEN kind IN ('DEMERGER', 'MERGER_OR_AMALGAMATION', 'RIGHTS', 'MECHANICAL_UNPARSED') THEN 'REVIEW' WHEN kind IN ('DIVIDEND', 'BUYBACK', 'OTHER_INFORMATIONAL') THEN 'NO_ADJUST' ELSE 'PARSED' END AS parse_status FROM (SELECT *, {KIND2} AS kind FROM {V2})""")
 def ca_parse_v2(spark, sf):
-    c = t.actions(spark, sf).withColumns(act.classify_v2(F.col("subject")))
+    c = act.classify_v2(t.actions(spark, sf))
     return rounded(c.select("event_id", "subject", "action_type", "price_factor", "parse_status"), 9, "price_factor")
 
 
@@ -291,10 +314,10 @@ def factor_product(spark, sf):
 ADJUSTED = f"(SELECT b.sec, b.d, b.close, b.volume, coalesce(exp(sum(ln(f.factor))), 1.0) AS f FROM {B} b LEFT JOIN {FACTORS} f ON f.sec = b.sec AND f.ex > b.d GROUP BY ALL)"
 
 
-@query(f"SELECT sec, d, round(close * f + 1e-9, 7) AS adj_close, CAST(round(volume / NULLIF(round(f, 9), 0), 0) AS BIGINT) AS adj_volume FROM {ADJUSTED}")
+@query(f"SELECT sec, d, round(close * f + 1e-9, 7) AS adj_close, CAST(floor(volume / f * (1 + 1e-11) + 0.5) AS BIGINT) AS adj_volume FROM {ADJUSTED}")
 def adjusted_bars(spark, sf):
     a = adjust.adjusted(t.bars(spark, sf), events(spark, sf))
-    return a.select("sec", "d", F.round(F.col("adj_close") + 1e-9, 7).alias("adj_close"), F.round(F.col("volume") / F.nullif(F.round("price_factor", 9), F.lit(0.0)), 0).cast("long").alias("adj_volume"))
+    return a.select("sec", "d", F.round(F.col("adj_close") + 1e-9, 7).alias("adj_close"), F.floor(F.col("volume") / F.col("price_factor") * (1 + 1e-11) + 0.5).cast("long").alias("adj_volume"))
 
 
 @query(f"""SELECT b.sec, b.d, round(coalesce(exp(sum(ln(f.factor))), 1.0), 9) AS price_factor FROM (SELECT *, CASE WHEN sec % 2 = 0 THEN DATE '{LIVE}' END AS thru FROM {B}) b
@@ -329,7 +352,7 @@ BRIDGE = f"""(SELECT a.*, (SELECT max(d) FROM bars b WHERE b.sec = a.sec AND b.d
 
 
 def bridge(spark, sf):
-    e = t.actions(spark, sf).withColumns(act.classify_v1(F.col("subject")))
+    e = act.classify_v1(t.actions(spark, sf))
     pre = joins.asof_prior(e, t.bars(spark, sf), "sec", "ex", "d", ["close"], prefix="pre_")
     post = joins.asof_next(pre, t.bars(spark, sf), "sec", "ex", "d", ["close"], prefix="post_")
     return post.withColumn("gap", F.when(F.col("price_factor") > 0, F.col("post_close") / F.nullif(F.col("pre_close") * F.col("price_factor"), F.lit(0.0)) - 1))
@@ -506,12 +529,12 @@ def repair_detect(spark, sf):
     return rounded(adjust.detect(prices(spark, sf), filed(spark, sf)), 9, "price_factor", "ret")
 
 
-@query(f"""SELECT p.sec, p.d, round(any_value(p.close) * exp(coalesce(sum(ln(r.f)) FILTER (WHERE r.d > p.d), 0)), 7) AS adj_close, round(CASE WHEN any_value(r.f) FILTER (WHERE r.d = p.d) IS NOT NULL THEN (1 + any_value(p.ret)) / any_value(r.f) FILTER (WHERE r.d = p.d) - 1 ELSE any_value(p.ret) END, 9) AS ret
+@query(f"""SELECT p.sec, p.d, round(any_value(p.close) * exp(coalesce(sum(ln(r.f)) FILTER (WHERE r.d > p.d), 0)), 9) AS adj_close, round(CASE WHEN any_value(r.f) FILTER (WHERE r.d = p.d) IS NOT NULL THEN (1 + any_value(p.ret)) / any_value(r.f) FILTER (WHERE r.d = p.d) - 1 ELSE any_value(p.ret) END, 9) AS ret
   FROM {_PRICES} p LEFT JOIN (SELECT DISTINCT sec, d, price_factor AS f FROM {DETECTED} WHERE kind = 'MECHANICAL') r ON r.sec = p.sec AND r.d >= p.d GROUP BY 1, 2""")
 def repair_apply(spark, sf):
     p = prices(spark, sf)
     fixed = adjust.apply_repair(p, adjust.detect(p, filed(spark, sf)))
-    return fixed.select("sec", "d", F.round("adj_close", 7).alias("adj_close"), F.round("ret", 9).alias("ret"))
+    return fixed.select("sec", "d", F.round("adj_close", 9).alias("adj_close"), F.round("ret", 9).alias("ret"))
 
 
 @query(f"SELECT sec, d, round(ret, 9) AS ret FROM {_UNEXPLAINED}")
