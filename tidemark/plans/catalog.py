@@ -314,10 +314,10 @@ def factor_product(spark, sf):
 ADJUSTED = f"(SELECT b.sec, b.d, b.close, b.volume, coalesce(exp(sum(ln(f.factor))), 1.0) AS f FROM {B} b LEFT JOIN {FACTORS} f ON f.sec = b.sec AND f.ex > b.d GROUP BY ALL)"
 
 
-@query(f"SELECT sec, d, round(close * f + 1e-9, 7) AS adj_close, CAST(floor(volume / f * (1 + 1e-11) + 0.5) AS BIGINT) AS adj_volume FROM {ADJUSTED}")
+@query(f"SELECT sec, d, round(close * f + 1e-9, 7) AS adj_close, CASE WHEN round(f, 9) > 0 THEN CAST(floor(volume / f * (1 + 1e-11) + 0.5) AS BIGINT) END AS adj_volume FROM {ADJUSTED}")
 def adjusted_bars(spark, sf):
     a = adjust.adjusted(t.bars(spark, sf), events(spark, sf))
-    return a.select("sec", "d", F.round(F.col("adj_close") + 1e-9, 7).alias("adj_close"), F.floor(F.col("volume") / F.col("price_factor") * (1 + 1e-11) + 0.5).cast("long").alias("adj_volume"))
+    return a.select("sec", "d", F.round(F.col("adj_close") + 1e-9, 7).alias("adj_close"), F.when(F.round("price_factor", 9) > 0, F.floor(F.col("volume") / F.col("price_factor") * (1 + 1e-11) + 0.5)).cast("long").alias("adj_volume"))
 
 
 @query(f"""SELECT b.sec, b.d, round(coalesce(exp(sum(ln(f.factor))), 1.0), 9) AS price_factor FROM (SELECT *, CASE WHEN sec % 2 = 0 THEN DATE '{LIVE}' END AS thru FROM {B}) b
