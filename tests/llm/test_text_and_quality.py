@@ -83,6 +83,53 @@ def test_fingerprints(spark):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def plain_branches(text):
+    """Counted leaves and neighbouring pairs, from the definition."""
+    import re
+
+    from xxhash import xxh64_intdigest as xxh
+
+    words = re.split(r"(?<=[ \t\n\x0b\f\r。、！？])", text)
+    phrases = "".join(w + "\0" if (xxh(w.encode(), 42) - (1 << 64) * (xxh(w.encode(), 42) >> 63)) % merkle.PHRASE_WORDS == 0 else w for w in words).split("\0")
+    made = [xxh(p.encode(), 42) for p in phrases]
+    return Counter(made) + Counter(xxh(b.to_bytes(8, "little"), xxh(a.to_bytes(8, "little"), 42)) for a, b in zip(made, made[1:]))
+
+
+def plain_likeness(a, b):
+    x, y = plain_branches(a), plain_branches(b)
+    return 2 * (x & y).total() / (x.total() + y.total())
+
+
+def plain_fingerprint(text):
+    nodes, part = [], []
+    digests = [sha256(p.encode()).hexdigest() for p in text.split("\n")]
+    for k, d in enumerate(digests):
+        part.append(d)
+        if d[0] in "01" or k == len(digests) - 1:
+            nodes.append(sha256(" ".join(part).encode()).hexdigest())
+            part = []
+    return sha256(" ".join(nodes).encode()).hexdigest() + ":" + "".join(n[: merkle.SHOWN] for n in nodes)
+
+
+def test_fingerprints_equal_brute_force(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdest", k=rng.randrange(1, 5)))
+    phrase = " ".join(word() for _ in range(30))
+    texts = ["", "one line", phrase * 40, "\n".join(" ".join(word() for _ in range(rng.randrange(0, 40))) for _ in range(60)), (phrase + "\n") * 9, "\n".join(reversed(((phrase + "\n") * 9 + "end").split("\n"))), "\n\n", "日本。語、テ" * 30]
+    got = merkle.edited_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    for k, (r, t) in enumerate(zip(got, texts)):
+        nxt, q = texts[(k + 1) % len(texts)], len(t) // 4
+        edited = t[: len(t) - q] + nxt[:q]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (plain_fingerprint(t), plain_fingerprint(edited))
+        assert r["near_edited"] == pytest.approx(plain_likeness(t, edited)) and r["near_next"] == pytest.approx(plain_likeness(t, nxt))
+    assert got[2]["near_edited"] > 0.6  # a text of one phrase over and over keeps three quarters of it
+
+
+def test_ids_that_are_not_numbers_are_refused(spark):
+    with pytest.raises(TypeError):
+        merkle.edited_fingerprints(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 def test_many_ranges_agree_with_one(spark):
     docs = spark.createDataFrame([(k * 7 % 501, f"text {k} " * (k % 13)) for k in range(501)], "doc_id long, text string")
     rows = lambda n: sorted(map(str, merkle.with_next(docs, n).select("doc_id", "text", "next_text").collect()))
@@ -94,9 +141,12 @@ def test_edits_locate_the_paragraph(spark):
     changed = [*lines[:17], "another paragraph", *lines[18:]]
     tree = lambda ls: merkle.tree(spark.createDataFrame([(1, "\n".join(ls))], "doc_id long, text string"))
     a, b = tree(lines), tree(changed)
-    assert [r["paragraph"] for r in merkle.edits(a, b).collect()] == [17] and merkle.edits(a, a).count() == 0
-    differ = set(a.first()["sections"]) ^ set(b.first()["sections"])
-    assert 0 < len(differ) <= 4
+    found = {r["side"]: r for r in merkle.edits(a, b).collect()}
+    of = lambda t, r: t.first()["sections"][r["section"]]["paragraphs"][r["paragraph"]]
+    assert of(a, found["a"]) == sha256(lines[17].encode()).hexdigest() and of(b, found["b"]) == sha256(b"another paragraph").hexdigest()
+    assert len(found) == merkle.edits(a, b).count() and merkle.edits(a, a).count() == 0
+    nodes = lambda t: {s["node"] for s in t.first()["sections"]}
+    assert 0 < len(nodes(a) ^ nodes(b)) <= 4
 
 
 def plain_kneser_ney(texts, order):
