@@ -190,3 +190,25 @@ def test_latin_ids_equal_the_library(spark, sf_dir):
         else:
             assert any(c > "ɏ" or c in "\x0b\x85\x00\x1c\xa0" for c in r["text"]) or "<|endoftext|>" in r["text"]
     assert n > 1000
+
+
+def test_cues_of_several_tracks_and_damaged_files(spark):
+    m = matroska
+    position = lambda track, at: m.element(m.CUE_TRACK_POSITIONS, m.number(m.CUE_TRACK, track) + m.number(m.CUE_CLUSTER_POSITION, at))
+    cues = m.element(m.CUES, m.element(m.CUE_POINT, m.number(m.CUE_TIME, 7) + position(1, 100) + position(2, 200)) + m.element(m.CUE_POINT, m.number(m.CUE_TIME, 9) + position(1, 300)))
+    data = m.HEADER + m.element(m.SEGMENT, m.TRACK + cues)
+    found = m.Parser(data).parse()
+    base = len(data) - len(m.TRACK) - len(cues)
+    assert [tuple(c) for c in found.cues] == [(7_000_000, 1, 100 + base), (7_000_000, 2, 200 + base), (9_000_000, 1, 300 + base)]
+    short = m.element(m.CLUSTER, m.element(m.SIMPLE_BLOCK, b"\x81"))
+    odd = m.element(m.TRACKS, m.element(m.TRACK_ENTRY, m.element(m.AUDIO, m.element(m.SAMPLING_FREQUENCY, b"abc"))))
+    laced = m.element(m.CLUSTER, m.element(m.SIMPLE_BLOCK, b"\x81\x00\x00\x02\x05"))
+    deep = b""
+    for _ in range(3000):
+        deep = m.element(m.BLOCK_GROUP, deep)
+    files = [m.HEADER + m.element(m.SEGMENT, x) for x in (short, odd, laced, deep)] + [b"", None, b"\x00" * 9, m.mux(b" " * 192)]
+    for f in files[:4]:
+        with pytest.raises(ValueError):
+            m.Parser(f).parse()
+    table = m.packet_table(spark.createDataFrame([(k, None if f is None else bytearray(f)) for k, f in enumerate(files)], "doc_id int, media binary"))
+    assert {r["doc_id"] for r in table.collect()} == {len(files) - 1}

@@ -197,7 +197,7 @@ def test_model_equals_its_definition(spark):
         got = {r["doc_id"]: (r["n_bytes"], r["log_prob"]) for r in quality.score(docs, model, 4, sent_rows=sent).collect()}
         assert got.keys() == want.keys()
         for k in want:
-            assert got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], rel=1e-5, abs=1e-5)
+            assert got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], rel=1e-11, abs=1e-11)
 
 
 def test_shards_agree(spark):
@@ -215,7 +215,7 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").where("toxic = 0")
     r = got.agg(F.avg(F.when(F.col("quality") == 1, F.col("keep").cast("int"))).alias("clean"), F.avg(F.when(F.col("quality") == 0, F.col("keep").cast("int"))).alias("bad")).first()
-    assert r["clean"] > 0.97 and r["bad"] < 0.25
+    assert r["clean"] > 0.97 and r["bad"] < 0.1
 
 
 def test_classifier_edges(spark):

@@ -110,7 +110,10 @@ class Parser:
         kind, _ = self.vint(0, True)
         if kind != EBML:
             raise ValueError("no EBML header")
-        self.walk(0, len(self.data), None)
+        try:
+            self.walk(0, len(self.data), None)
+        except (struct.error, KeyError, IndexError, RecursionError, OverflowError) as e:
+            raise ValueError("a damaged file") from e
         packets = np.concatenate(self.packets) if self.packets else np.zeros((0, 6), np.int64)
         return Media(self.tracks, [(t * self.scale, n, c + self.base) for t, n, c in self.cues], packets, self.clusters)
 
@@ -143,7 +146,9 @@ class Parser:
         elif kind == TRACK_ENTRY:
             self.track = {}
         elif kind == CUE_POINT:
-            self.cues.append([0, 0, 0])
+            self.point, self.cue_time = len(self.cues), 0
+        elif kind == CUE_TRACK_POSITIONS:
+            self.cues.append([self.cue_time, 0, 0])
 
     def leaf(self, kind: int, at: int, end: int) -> None:
         whole = lambda: int.from_bytes(self.data[at:end], "big")
@@ -153,8 +158,12 @@ class Parser:
             self.time = whole()
         elif kind == TIMESTAMP_SCALE:
             self.scale = whole()
-        elif kind in (CUE_TIME, CUE_TRACK, CUE_CLUSTER_POSITION) and self.cues:
-            self.cues[-1][(CUE_TIME, CUE_TRACK, CUE_CLUSTER_POSITION).index(kind)] = whole()
+        elif kind == CUE_TIME:
+            self.cue_time = whole()
+            for cue in self.cues[self.point :]:
+                cue[0] = self.cue_time
+        elif kind in (CUE_TRACK, CUE_CLUSTER_POSITION) and self.cues:
+            self.cues[-1][1 if kind == CUE_TRACK else 2] = whole()
         elif kind in (TRACK_NUMBER, TRACK_TYPE, DEFAULT_DURATION, CHANNELS, BIT_DEPTH):
             self.track[{TRACK_NUMBER: "number", TRACK_TYPE: "type", DEFAULT_DURATION: "frame_ns", CHANNELS: "channels", BIT_DEPTH: "bits"}[kind]] = whole()
         elif kind == CODEC_ID:

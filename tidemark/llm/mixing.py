@@ -4,7 +4,7 @@ A source's documents each get target/size copies, a fraction.  Pivotal rounding
 probabilities and randomly moves mass, in words, from one to the other until one is integral, so the words of both
 and every document's expectation stay.  Documents are paired from the longest down within chunks of bounded rows
 (a hot source has many chunks); what is left fractional, at most one document a chunk, goes up a reduction tree
-until each source has one fraction, which goes to the nearer side.  All draws are hashes of the seed and the document, so reruns agree.
+until each source has one fraction, which is drawn.  All draws are hashes of the seed and the document, so reruns agree.
 """
 
 from __future__ import annotations
@@ -132,6 +132,8 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, most: float = MOST, id_
             break
         most_nodes = -(-most_nodes // FAN_IN)
         state = write_table(_round(state.where(left).withColumn("node", F.floor(F.col("node") / FAN_IN)), seed + 1), "mix-round")
-    everything = settled.unionAll(state.where(left).withColumn("p", F.when(F.col("p") < 0.5, 0.0).otherwise(1.0)))
+    # One fraction a source is left: drawn, so that its document's expectation stays too.
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.lit("last"), "key"), F.lit(1 << 40)) / float(1 << 40)
+    everything = settled.unionAll(state.where(left).withColumn("p", F.when(drawn < F.col("p"), 1.0).otherwise(0.0)))
     copies = (F.col("whole") + F.col("p").cast("long")).alias("copies")
     return everything.select(F.col("id").alias(id_column), *keep, "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"), "key")

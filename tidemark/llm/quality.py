@@ -30,8 +30,8 @@ SHORT = 1.0
 BIN = 1e-3
 #: Trusted ids that may be sent to every task (8 bytes each), so that their texts are counted where they are read; more are joined by shuffle.
 TRUSTED_IDS = 8_000_000
-#: Rows of a model that may be sent to every task (16 bytes each), and rows of one shard of it.
-SENT_ROWS, SHARD_ROWS = 8_000_000, 1_000_000
+#: Bytes of a model that may be sent to every task, those of a row (key and two doubles), and rows of one shard of it.
+SENT_BYTES, ROW_BYTES, SHARD_ROWS = 96 << 20, 24, 1_000_000
 
 
 def grams(data: bytes, order: int) -> np.ndarray:
@@ -130,7 +130,7 @@ class Shard:
             self.keys[at], self.place[at] = keys[won], won
             left = np.setdiff1d(left, won, assume_unique=True)
             slot[left] = (slot[left] + 1) & size - 1
-        self.lp, self.lb = np.append(lp, np.nan).astype(np.float32), np.append(lb, np.nan).astype(np.float32)
+        self.lp, self.lb = np.append(lp, np.nan), np.append(lb, np.nan)
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -174,7 +174,7 @@ def log_probabilities(g: np.ndarray, order: int, shards: list[Shard]) -> np.ndar
 def _look(keys: np.ndarray, shards: list[Shard], what: str) -> np.ndarray:
     if len(shards) == 1:
         return getattr(shards[0], what)[shards[0].find(keys)]
-    out, of = np.full(len(keys), np.nan, np.float32), shard_of(keys, len(shards))
+    out, of = np.full(len(keys), np.nan), shard_of(keys, len(shards))
     for k, s in enumerate(shards):
         mine = np.flatnonzero(of == k)
         out[mine] = getattr(s, what)[s.find(keys[mine])]
@@ -188,7 +188,7 @@ def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
 _shards: dict[str, list[Shard]] = {}
 
 
-def score(docs: DataFrame, model: DataFrame, order: int = ORDER, sent_rows: int = SENT_ROWS, id_columns: tuple = ("doc_id", "lang")) -> DataFrame:
+def score(docs: DataFrame, model: DataFrame, order: int = ORDER, sent_rows: int = SENT_BYTES // ROW_BYTES, id_columns: tuple = ("doc_id", "lang")) -> DataFrame:
     """(id columns, n_bytes, log_prob) for each row of *docs*; a null or empty text has 0 bytes and log_prob 0."""
     n_rows = model.count()
     rows = docs.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(id_columns)], whole_text().alias("text"))
@@ -206,7 +206,7 @@ def _score_sent(rows: DataFrame, model: DataFrame, n_rows: int, order: int, name
 
     table = model.toArrow()
     keys = tagged(1, table.column("g").to_numpy()) & ((1 << 56) - 1) | table.column("n").to_numpy().astype(np.int64) << 56
-    lp, lb = (table.column(c).to_numpy(zero_copy_only=False).astype(np.float32) for c in ("lp", "lb"))
+    lp, lb = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lp", "lb"))
     n_shards = -(-n_rows // SHARD_ROWS) or 1
     of = shard_of(keys, n_shards)
     sent = [rows.sparkSession.sparkContext.broadcast((keys[of == k], lp[of == k], lb[of == k])) for k in range(n_shards)]

@@ -36,7 +36,7 @@ def op1_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_matroska_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.matroska import media_digests, to_media
 
-    return media_digests(to_media(documents(spark, sf_dir)))
+    return media_digests(write_table(to_media(documents(spark, sf_dir)), "media", compression="zstd"))
 
 
 def op3_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
