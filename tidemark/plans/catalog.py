@@ -884,3 +884,6 @@ def json_props(spark, sf):
 def fetch_chunks(spark, sf):
     start, end = calendar.chunks(F.lit("1995-01-01").cast("date"), F.lit("2001-12-31").cast("date"))
     return spark.range(1).select(start).select(F.col("start").alias("a"), F.least(F.lit("2001-12-31").cast("date"), F.date_add("start", 89)).alias("b"))
+
+
+import tidemark.plans.checks  # noqa: E402, F401 (registers its queries here)
