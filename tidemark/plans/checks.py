@@ -25,7 +25,7 @@ def _covered(spark, sf):
 
 
 @query(_COVERED)
-def open_ended_spans(spark, sf):
+def spans_with_open_end(spark, sf):
     return _covered(spark, sf)
 
 
@@ -56,7 +56,7 @@ def parameter_query(spark, sf):
 
 
 @query("SELECT s_suppkey AS sec, s_name AS name, CAST(NULL AS DATE) AS listed FROM supplier")
-def optional_join(spark, sf):
+def absent_table_join(spark, sf):
     rows = t.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sec"), F.col("s_name").alias("name"))
     return certify.optional_join(rows, None, ["sec"], {"listed": "date"})
 
