@@ -21,6 +21,9 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: The session's setting that removes a query's shuffle files at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _folders: dict[str, str] = {}
 
 
@@ -54,7 +57,13 @@ def write_table(df: DataFrame, name: str, **options) -> DataFrame:
     """Write *df* as Parquet in the shared folder and return a reader of it: lineage ends there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    # Shuffle files of the write go as soon as it ends, not when the driver happens to collect its garbage.
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     made = spark.read.parquet(path)
     made.written_at = path
     return made

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_dir
+from tidemark.llm.common import drop_tables, write_table
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,9 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops and edges with a null end are ignored; repeated edges count once; without edges the result is empty.
     """
-    shared_dir(edges.sparkSession)
     a, b = edges.columns
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct().checkpoint()
+    now = write_table(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct(), "edges")
     before = None
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 2**31)).first()
@@ -40,4 +39,5 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         after = _star(both, True).distinct()
         after = after.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        now = _star(after, False).distinct().checkpoint()
+        last, now = now, write_table(_star(after, False).distinct(), "edges")
+        drop_tables(last)
