@@ -154,7 +154,7 @@ class Pieces:
         apart = not any(SPACE in p.piece.lstrip(SPACE) for p in model.pieces)
         spec = model.normalizer_spec
         self.by_chunk = apart and not self.normalizer.map.units and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and spec.escape_whitespaces and not any(p.type == kinds.USER_DEFINED for p in model.pieces)
-        self.coder = TextCoder(lambda words: [np.array(x, "<u4").tobytes() for x in self.library.encode(words)], lambda t: np.array(self.ids(t), "<u4").tobytes(), b"".join)
+        self.coder = TextCoder(lambda words: [np.array(x, "<u4").tobytes() for x in map(self.library.encode, words)], lambda t: np.array(self.ids(t), "<u4").tobytes(), b"".join)
         self.bytes_of_all = self._bytes if self.by_chunk else self.coder.whole
 
     def ids(self, text: str) -> list[int]:
