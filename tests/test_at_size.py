@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from tidemark.operators import identity
 from tidemark.plans import catalog
 
 
@@ -40,3 +41,33 @@ def test_alias_join_makes_no_pairs(spark, busy_day):
     assert joined_rows(df) <= 4 * 1500
     best = lambda a: min((-(q % 11), q) for q in range(1500) if q != a and (q % 7 == a % 7 or q % 5 == a % 5))[1]
     assert sorted((r["sec"], r["q_sec"]) for r in df.collect()) == [(a, best(a)) for a in range(1500)]
+
+
+def walked(rows, members, as_of):
+    """The timeline by walking whole sets; rows in order."""
+    state = set(members)
+    for _, gone, come in reversed(rows):
+        state = (state - set(come)) | set(gone)
+    since, out = dict.fromkeys(state), []
+    for d, gone, come in rows:
+        out += [(s, since.pop(s), d) for s in set(gone) & since.keys()]
+        since |= {s: d for s in set(come) - since.keys()}
+    return sorted(out + [(s, d, as_of + datetime.timedelta(1)) for s, d in since.items()], key=repr)
+
+
+def test_timeline_by_symbols(spark):
+    random = __import__("random").Random(5)
+    end = datetime.date(2001, 1, 1)
+    some = lambda: random.sample("ABCDEFGH", random.randrange(4))
+    rows = [(datetime.date(2000, 1, 1 + k // 5), some(), some()) for k in range(60)]
+    shape = "effective_date date, exclusions array<string>, inclusions array<string>, no int"
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)][::-1], shape)  # changes of a date go by number, not as they lie
+    anchor = spark.createDataFrame([(["A", "B", "STAYS"],)], "members array<string>")
+    got = sorted(map(tuple, identity.timeline(df, anchor, end, ["no"]).collect()), key=repr)
+    assert got == walked(rows, ["A", "B", "STAYS"], end)
+    assert sorted(map(tuple, identity.timeline(df.limit(0), anchor, end).collect())) == [(s, None, datetime.date(2001, 1, 2)) for s in ("A", "B", "STAYS")]
+
+
+def test_timeline_is_not_one_group(spark, sf_dir):
+    df = catalog.queries()["membership_timeline"](spark, sf_dir)
+    assert "FlatMapGroups" not in df._jdf.queryExecution().optimizedPlan().toString()

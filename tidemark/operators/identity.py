@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import same_issuer
-from tidemark.plans.runtime import ship
 
 # Days between two ISINs of one lineage.
 LINEAGE_GAP = 20
@@ -84,36 +83,29 @@ def merge_ledger(curated: DataFrame, parsed: DataFrame, superseded: DataFrame |
     return latest_wins(both, ["effective_date", "exclusions", "inclusions"], F.col("_rank").asc(), F.col("source_file").asc()).drop("_rank")
 
 
-def timeline(changes: DataFrame, anchor: DataFrame, as_of) -> DataFrame:
+def timeline(changes: DataFrame, anchor: DataFrame, as_of, order: list[str] | None = None) -> DataFrame:
     """(symbol, valid_from, valid_to): half-open membership intervals from set changes and the members at the end.
 
-    changes: (effective_date, exclusions, inclusions); anchor: one row (members) as of *as_of*.  The set is walked
-    back to the start through the changes and forward again; changes that don't fit (removing a non-member, adding
-    a member) change nothing.  One index's change list is one group of some thousand rows.
-    """
+    changes: (effective_date, exclusions, inclusions, and *order*, by which changes of a date follow each other; without it
+    by their symbols); anchor: one row (members) as of *as_of*.  The set is walked back to the start through the changes and
+    forward again; changes that don't fit (removing a non-member, adding a member) change nothing.
 
-    def fold(table):
-        import datetime
-
-        import pyarrow as pa
-
-        rows = sorted(table.to_pylist(), key=lambda r: r["effective_date"])
-        state = set(rows[0]["members"]) if rows else set()
-        for r in reversed(rows):
-            if r["effective_date"]:
-                state = (state - set(r["inclusions"] or ())) | set(r["exclusions"] or ())
-        since = {s: None for s in state}
-        out = []
-        for r in rows:
-            for s in sorted(set(r["exclusions"] or ()) & since.keys()):
-                out.append((s, since.pop(s), r["effective_date"]))
-            for s in sorted(set(r["inclusions"] or ()) - since.keys()):
-                since[s] = r["effective_date"]
-        end = as_of + datetime.timedelta(days=1)
-        out += [(s, d, end) for s, d in sorted(since.items())]
-        columns = list(zip(*out)) or [(), (), ()]
-        return pa.table({"symbol": pa.array(columns[0], pa.string()), "valid_from": pa.array(columns[1], pa.date32()), "valid_to": pa.array(columns[2], pa.date32())})
-
-    ship(changes.sparkSession)
-    whole = changes.join(F.broadcast(anchor.select("members").limit(1))).withColumn("_index", F.lit(1))
-    return whole.groupBy("_index").applyInArrow(fold, "symbol string, valid_from date, valid_to date")
+    A symbol's walk depends on no other symbol: before its first change it is a member if that takes it out, and without
+    changes if it is one at the end.  So each symbol is one window over its own changes, exclusions of a change first.
+    """
+    tie = F.struct(*(order or ["exclusions", "inclusions"])).alias("tie")
+    c = changes.where("effective_date is not null").select("effective_date", tie, "exclusions", "inclusions")
+    out_, in_, end_ = 0, 1, 2
+    told = lambda symbols, kind: c.select(F.explode(symbols).alias("symbol"), F.col("effective_date").alias("d"), "tie", F.lit(kind).alias("kind"))
+    last = anchor.select("members").limit(1).select(F.explode(F.array_distinct("members")).alias("symbol"))
+    both = told("exclusions", out_).unionByName(told("inclusions", in_)).unionByName(last.withColumn("kind", F.lit(end_)), allowMissingColumns=True)
+    # A member at the end comes before its changes, of which the first that tells something new is kept of each run.
+    w = Window.partitionBy("symbol").orderBy("d", "tie", "kind")
+    t = both.where("symbol is not null").withColumn("before", F.lag("kind").over(w)).where("before is null or kind <> before")
+    t = t.withColumns({"next": F.lead("kind").over(w), "until": F.lead("d").over(w)})
+    first = F.coalesce(F.col("before") == end_, F.lit(True))
+    never = (F.col("kind") == end_) & F.col("next").isNull()
+    t = t.where((F.col("kind") == in_) | ((F.col("kind") == out_) & first) | never)
+    end = F.date_add(F.lit(as_of), 1)
+    since, to = F.when(F.col("kind") == in_, F.col("d")), F.when(F.col("kind") == out_, F.col("d")).otherwise(F.coalesce("until", end))
+    return t.select("symbol", since.alias("valid_from"), to.alias("valid_to"))
