@@ -71,3 +71,14 @@ def test_timeline_by_symbols(spark):
 def test_timeline_is_not_one_group(spark, sf_dir):
     df = catalog.queries()["membership_timeline"](spark, sf_dir)
     assert "FlatMapGroups" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lineage_of_an_isin_in_several_chains(spark):
+    at = lambda *d: [datetime.date(*x) for x in d]
+    rows = []
+    for k in range(20):
+        isin = [f"INE{k:06}{n:03}" for n in range(3)]
+        rows += [(f"S{k}", isin[0], *at((2000, 1, 1), (2000, 1, 9))), (f"S{k}", isin[1], *at((2000, 1, 11), (2000, 1, 19)))]
+        rows += [(f"S{k}", isin[2], *at((2005, 1, 1), (2005, 1, 9))), (f"S{k}", isin[1], *at((2005, 1, 11), (2005, 1, 19))), (f"S{k}", isin[1], *at((2009, 1, 1), (2009, 1, 9)))]
+    got = {r["isin"]: r["canonical"] for r in identity.lineage(spark.createDataFrame(rows, "symbol string, isin string, first_d date, last_d date")).collect()}
+    assert [got[f"INE{k:06}001"] for k in range(20)] == [f"INE{k:06}000" for k in range(20)]

@@ -19,7 +19,8 @@ def spans(bars: DataFrame, symbol: str, isin: str) -> DataFrame:
 def lineage(spans_: DataFrame, existing: DataFrame | None = None, gap: int = LINEAGE_GAP) -> DataFrame:
     """(isin, canonical): a symbol's next ISIN joins the chain before it if it is the same issuer's and follows within days.
 
-    The first ISIN of a chain names it; existing decisions win; of several symbols the first decides.
+    The first ISIN of a chain names it; existing decisions win; of several symbols the first decides, of several chains of
+    one the earliest.
     """
     w = Window.partitionBy("symbol").orderBy("first_d", "isin")
     days = F.datediff("first_d", F.lag("last_d").over(w))
@@ -27,7 +28,7 @@ def lineage(spans_: DataFrame, existing: DataFrame | None = None, gap: int = LIN
     t = spans_.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
     t = t.withColumn("chain", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     t = t.withColumn("canonical", F.first("isin").over(Window.partitionBy("symbol", "chain").orderBy("first_d", "isin")))
-    out = t.groupBy("isin").agg(F.min_by("canonical", "symbol").alias("canonical"))
+    out = t.groupBy("isin").agg(F.min_by("canonical", F.struct("symbol", "first_d", "canonical")).alias("canonical"))
     if existing is None:
         return out
     known = existing.select(F.col("isin").alias("_i"), F.col("canonical").alias("_c"))
