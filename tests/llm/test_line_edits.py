@@ -66,3 +66,10 @@ def test_long_lines_of_the_same_words_stay(spark):
 
 def test_repeats_of_any_length_stay_linked(spark):
     assert linked(spark, [("-" * 60, "-" * 300), ("spam and eggs " * 6, "spam and eggs " * 40)]) == 2
+
+
+def test_documents_are_hashed_once_not_once_a_line(spark):
+    docs = spark.createDataFrame([(1, "a\nb\n"), (2, None), (3, "\n\nü 𝄞\n")], "doc_id long, text string")
+    plan = L.occurrences(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and plan.index("Generate") < plan.index("xxhash64")
+    assert {r["doc_id"]: r["n_lines"] for r in L.removed_lines(docs).collect()} == {1: 3, 2: 1, 3: 4}

@@ -61,10 +61,16 @@ def _cross_links(spark: SparkSession, *columns: Column) -> Column:
     return F.call_udf("tidemark_cross_links", *columns)
 
 
+def _n_lines(spark: SparkSession, text: Column) -> Column:
+    jvm.register(spark, "tidemark_n_lines", "tidemark.Lines$Count", "bigint")
+    return F.call_udf("tidemark_n_lines", text)
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, h, line_no, line) for each line with a visible character; h tells apart rows that share an id."""
-    base = docs.select("doc_id", whole_text().alias("text"))
-    return base.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+    # h is made before the lines: beside them it would be made of the whole text once a line.
+    base = docs.select("doc_id", whole_text().alias("text")).withColumn("h", F.xxhash64("text"))
+    return base.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
 
 
 def _digest() -> list[Column]:
@@ -165,7 +171,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     doc_id and text are not read.
     """
     gone = write_table(removals(docs), "lines-gone").groupBy("doc_id", "h").agg(F.array_sort(F.collect_list("line_no")).alias("removed_lines"))
-    rows = docs.select("doc_id", whole_text().alias("text")).select("doc_id", F.xxhash64("text").alias("h"), (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"))
+    rows = docs.select("doc_id", whole_text().alias("text")).select("doc_id", F.xxhash64("text").alias("h"), _n_lines(docs.sparkSession, F.col("text")).alias("n_lines"))
     return _with(rows, gone).select("doc_id", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines")
 
 
